@@ -19,13 +19,9 @@ EXCLUDED_TYPES = [
 
 
 def catalog(landed: DataFrame) -> DataFrame:
-    """Active products outside the excluded groups; an empty link is not excluded."""
+    """Active products outside the excluded groups; a product without a link drops out too."""
     names = {c: text.many_to_one_name(F.col(c)) for c in
              ("type_of_product_id", "subindustry_id", "industry_id")}
-
-    def outside(name: str, excluded: list[str]):
-        return F.coalesce(~F.col(name).isin(excluded), F.lit(True))
-
     return (
         landed.filter(F.col("status") == "active")
         .select(*schemas.ERP_CATALOG_COLUMNS)
@@ -35,8 +31,8 @@ def catalog(landed: DataFrame) -> DataFrame:
             "subindustry_id": "subindustry",
             "industry_id": "industry",
         })
-        .filter(outside("subindustry", EXCLUDED_SUBINDUSTRIES)
-                & outside("type_of_product", EXCLUDED_TYPES))
+        .filter(~F.col("subindustry").isin(EXCLUDED_SUBINDUSTRIES)
+                & ~F.col("type_of_product").isin(EXCLUDED_TYPES))
     )
 
 
