@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import matched, number, strip
+from .text import let, matched, number, strip
 
 # Fixed values.
 NO_PRICE = "0.00"
@@ -43,16 +43,24 @@ def integer_price(text: Column) -> Column:
 
 def superscript_price(text: Column, sup: Column) -> Column:
     """Digits whose tail sits in a <sup>; whole numbers get '.00'."""
-    digits = F.regexp_replace(text, r"\D", "")
-    decimals = F.regexp_replace(F.coalesce(sup, F.lit("")), r"\D", "")
-    head = F.substring(digits, F.lit(1), F.length(digits) - F.length(decimals))
-    split_off = (F.length(decimals) > 0) & F.endswith(digits, decimals) & (F.length(head) > 0)
-    integer = F.when(split_off, head).otherwise(digits)
-    return F.when(
-        F.length(integer) > 0,
-        F.concat(integer, F.lit("."), F.when(F.length(decimals) > 0, decimals).otherwise("00")),
+    parts = F.struct(
+        F.regexp_replace(text, r"\D", "").alias("digits"),
+        F.regexp_replace(F.coalesce(sup, F.lit("")), r"\D", "").alias("cents"),
     )
 
+    def joined(p: Column) -> Column:
+        digits, cents = p["digits"], p["cents"]
+        has_cents = F.length(cents) > 0
+        split_off = has_cents & F.endswith(digits, cents) & (F.length(digits) > F.length(cents))
+        head = F.substring(digits, F.lit(1), F.length(digits) - F.length(cents))
+        integer = F.when(split_off, head).otherwise(digits)
+        return F.when(
+            F.length(digits) > 0,
+            F.concat(integer, F.lit("."), F.when(has_cents, cents).otherwise("00")),
+        )
+
+    return let(parts, joined)
+
 
 def euro_price(text: Column, rate: float = EUR_TO_SAR) -> Column:
     """Euro text (',' is a thousands mark) to riyal, rounded to cents."""

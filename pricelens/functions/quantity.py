@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import matched
+from .text import let, matched
 
 # Patterns and factors that decide the results.
 VOLUME = (
@@ -48,7 +48,7 @@ TITLE_CARTON = r"(?i)\(carton of \d+x(\d+)\)"
 TITLE_ITEMS = r"(?i)(\d+)\s+(?:bottles?|pieces?|units?|pcs?|pack)"
 WIPES_WORDS = r"(?i)\b(?:wipes?|rags|sheets)\b"
 WIPES_NESTED = r"(?i)\d+\s*x\s*\(\s*\d+\s*x\s*\d+[^)]*\)"
-WIPES_BASE = r"(?i)(\d+)\s*(?:wipes?|sheets|count)\b"
+WIPES_BASE = r"(?i)(\d+)\s*(?:wet\s*)?(?:wipes?|rags|sheets|count)\b"
 WIPES_PACKS = r"(?i)(?:pack\s+of\s+(\d+)|(\d+)[\s-]*pack\b|(\d+)\s*x\b)"
 ML_PER_FL_OZ = 29.5735
 SPEC_MULTIPLIER_RANGE = (2, 50)
@@ -64,7 +64,21 @@ def _quantity(quantity: Column, unit: Column, normalized: Column) -> Column:
 
 
 def _pieces(count: Column) -> Column:
-    return F.when(count.isNotNull(), _quantity(count, F.lit("units"), count))
+    return let(count, lambda n: F.when(n.isNotNull(), _quantity(n, F.lit("units"), n)))
+
+
+def _times(found: Column, factor: Column) -> Column:
+    """A parsed quantity, if any, multiplied."""
+    both = F.struct(found.alias("q"), factor.alias("f"))
+    return let(
+        both,
+        lambda x: F.when(
+            x["q"].isNotNull(),
+            _quantity(
+                x["q"]["quantity"] * x["f"], x["q"]["unit"], x["q"]["normalized"] * x["f"]
+            ),
+        ),
+    )
 
 
 def _to_double(text: Column) -> Column:
@@ -77,13 +91,13 @@ def _number_at(text: Column, pattern: str, group: int = 1) -> Column:
 
 def _unit_label(word: Column) -> Column:
     """Canonical unit of a matched unit word; kilo is tested before gram."""
-    word = F.lower(word)
-    return (
-        F.when(word.startswith("ml") | word.startswith("milli"), "ml")
-        .when(word.startswith("l"), "L")
-        .when(word.startswith("k"), "kg")
-        .when(word.startswith("g"), "g")
-        .when(word.isNotNull(), "fl oz")
+    return let(
+        F.lower(word),
+        lambda w: F.when(w.startswith("ml") | w.startswith("milli"), "ml")
+        .when(w.startswith("l"), "L")
+        .when(w.startswith("k"), "kg")
+        .when(w.startswith("g"), "g")
+        .when(w.isNotNull(), "fl oz"),
     )
 
 
@@ -95,11 +109,21 @@ def _unit_factor(label: Column) -> Column:
     )
 
 
+def _measured(amount: Column, word: Column) -> Column:
+    """Amount and unit word to a quantity, NULL without an amount."""
+    found = F.struct(amount.alias("amount"), _unit_label(word).alias("unit"))
+    return let(
+        found,
+        lambda f: F.when(
+            f["amount"].isNotNull(),
+            _quantity(f["amount"], f["unit"], f["amount"] * _unit_factor(f["unit"])),
+        ),
+    )
+
+
 def volume(text: Column) -> Column:
     """First ``number unit`` of volume or weight."""
-    amount = _number_at(text, VOLUME, 1)
-    label = _unit_label(matched(text, VOLUME, 2))
-    return F.when(amount.isNotNull(), _quantity(amount, label, amount * _unit_factor(label)))
+    return _measured(_number_at(text, VOLUME, 1), matched(text, VOLUME, 2))
 
 
 def count(text: Column) -> Column:
@@ -119,19 +143,15 @@ def hyphen_or_plain_count(text: Column) -> Column:
 
 def _multiplied(text: Column, pattern: str) -> Column:
     total = _number_at(text, pattern, 1) * _number_at(text, pattern, 2)
-    label = _unit_label(matched(text, pattern, 3))
-    return F.when(total.isNotNull(), _quantity(total, label, total * _unit_factor(label)))
+    return _measured(total, matched(text, pattern, 3))
 
 
 def volume_with_multiplier(text: Column) -> Column:
     """``(12 bottles x 1 L)``, then ``12 Pcs x 1 L``, then a volume times the first ``N x``."""
-    plain = volume(text)
     times = F.coalesce(_number_at(text, TIMES), F.lit(1.0))
-    scaled = F.when(
-        plain.isNotNull(),
-        _quantity(plain["quantity"] * times, plain["unit"], plain["normalized"] * times),
+    return F.coalesce(
+        _multiplied(text, CASE_VOLUME), _multiplied(text, PCS_VOLUME), _times(volume(text), times)
     )
-    return F.coalesce(_multiplied(text, CASE_VOLUME), _multiplied(text, PCS_VOLUME), scaled)
 
 
 def package_units(text: Column) -> Column:
@@ -162,11 +182,7 @@ def listing_multiplier(text: Column) -> Column:
 def listing_quantity(text: Column, mode: Column) -> Column:
     """Count or volume of a listing title times its pack multiplier."""
     base = F.when(mode == "units", listing_count(text)).otherwise(volume(text))
-    times = listing_multiplier(text)
-    return F.when(
-        base.isNotNull(),
-        _quantity(base["quantity"] * times, base["unit"], base["normalized"] * times),
-    )
+    return _times(base, listing_multiplier(text))
 
 
 def _has_any(text: Column, words: list[str]) -> Column:
@@ -222,11 +238,7 @@ def spec_quantity(rows: Column, title: Column, mode: Column) -> Column:
     found = F.when(mode == "units", spec_count(rows, title)).otherwise(
         F.coalesce(spec_volume(rows), volume(title), count(title))
     )
-    times = F.greatest(spec_multiplier(rows), title_multiplier(title))
-    return F.when(
-        found.isNotNull(),
-        _quantity(found["quantity"] * times, found["unit"], found["normalized"] * times),
-    )
+    return _times(found, F.greatest(spec_multiplier(rows), title_multiplier(title)))
 
 
 def agreed_volume(title: Column, spec: Column, item: Column) -> Column:
@@ -235,22 +247,24 @@ def agreed_volume(title: Column, spec: Column, item: Column) -> Column:
     Returns ``struct<quantity, unit, status>``; the first agreeing pair in the
     order title, volume, item volume decides.
     """
-    sources = [("Title", volume(title)), ("Volume", volume(spec)), ("Item_volume", volume(item))]
-    result = None
-    for left, right in ((0, 1), (0, 2), (1, 2)):
-        (left_name, a), (right_name, b) = sources[left], sources[right]
-        agrees = F.abs(a["normalized"] - b["normalized"]) < AGREEMENT_TOLERANCE
-        status = F.lit(f"Confirmed by {left_name} & {right_name}")
-        value = F.struct(
-            a["quantity"].alias("quantity"), a["unit"].alias("unit"), status.alias("status")
-        )
-        result = F.when(agrees, value) if result is None else result.when(agrees, value)
-    return result.otherwise(
-        F.struct(
+    names = ["Title", "Volume", "Item_volume"]
+    volumes = F.struct(*[volume(t).alias(n) for t, n in zip((title, spec, item), names)])
+
+    def decide(v: Column) -> Column:
+        result = F
+        for left, right in ((0, 1), (0, 2), (1, 2)):
+            a, b = v[names[left]], v[names[right]]
+            agrees = F.abs(a["normalized"] - b["normalized"]) < AGREEMENT_TOLERANCE
+            status = F.lit(f"Confirmed by {names[left]} & {names[right]}")
+            result = result.when(agrees, F.struct(
+                a["quantity"].alias("quantity"), a["unit"].alias("unit"), status.alias("status")
+            ))
+        return result.otherwise(F.struct(
             F.lit(0.0).alias("quantity"), F.lit("units").alias("unit"),
             F.lit("Not Found").alias("status"),
-        )
-    )
+        ))
+
+    return let(volumes, decide)
 
 
 def _product(numbers: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 # Word lists of the veto rules. Pass your own dictionary to extend them.
 WORDS: dict[str, list[str]] = {
     "stop": ["and", "for", "the", "with", "from"],
@@ -30,9 +32,15 @@ def _names(found: Column, words: list[str]) -> Column:
     return F.arrays_overlap(found, F.array(*[F.lit(w) for w in words]))
 
 
-def relevance_vetoes(title: Column, query: Column, words: dict[str, list[str]] = WORDS) -> Column:
-    """True when one of the six strictness rules rejects the title."""
-    t, q = tokens(title, words["stop"]), tokens(query, words["stop"])
+def _both(title: Column, query: Column, words: dict[str, list[str]]) -> Column:
+    return F.struct(
+        tokens(title, words["stop"]).alias("t"), tokens(query, words["stop"]).alias("q"),
+        F.contains(title, F.lit("+")).alias("plus"),
+    )
+
+
+def _vetoed(pair: Column, words: dict[str, list[str]]) -> Column:
+    t, q = pair["t"], pair["q"]
 
     def asked_but_missing(group: str) -> Column:
         asked = F.filter(q, lambda w: w.isin(words[group]))
@@ -45,7 +53,7 @@ def relevance_vetoes(title: Column, query: Column, words: dict[str, list[str]] =
     return (
         (_names(t, words["tool"]) & ~_names(q, words["tool_query"]))
         | named_but_not_asked("application")
-        | F.contains(title, F.lit("+"))
+        | pair["plus"]
         | _names(t, words["bundle"])
         | asked_but_missing("surface")
         | asked_but_missing("specialised")
@@ -53,10 +61,19 @@ def relevance_vetoes(title: Column, query: Column, words: dict[str, list[str]] =
     )
 
 
+def _covered(pair: Column) -> Column:
+    shared = F.size(F.array_intersect(pair["q"], pair["t"]))
+    return F.coalesce(F.try_divide(shared, F.size(pair["q"])), F.lit(0.0))
+
+
+def vetoed(title: Column, query: Column, words: dict[str, list[str]] = WORDS) -> Column:
+    """True when one of the six strictness rules rejects the title."""
+    return let(_both(title, query, words), lambda p: _vetoed(p, words))
+
+
 def coverage(title: Column, query: Column, words: dict[str, list[str]] = WORDS) -> Column:
     """Share of the query's words found in the title."""
-    t, q = tokens(title, words["stop"]), tokens(query, words["stop"])
-    return F.coalesce(F.try_divide(F.size(F.array_intersect(q, t)), F.size(q)), F.lit(0.0))
+    return let(_both(title, query, words), _covered)
 
 
 def is_relevant(
@@ -66,5 +83,8 @@ def is_relevant(
     words: dict[str, list[str]] = WORDS,
 ) -> Column:
     """Unknown title or query counts as not relevant."""
-    decision = (coverage(title, query, words) >= threshold) & ~relevance_vetoes(title, query, words)
+    decision = let(
+        _both(title, query, words),
+        lambda p: (_covered(p) >= threshold) & ~_vetoed(p, words),
+    )
     return F.coalesce(decision, F.lit(False))

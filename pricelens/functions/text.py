@@ -104,3 +104,8 @@ def joined_text(nodes: Column, separator: str = "") -> Column:
     """Strip every text node, drop the empty ones, join the rest."""
     parts = F.filter(F.transform(nodes, strip), lambda t: t != "")
     return F.array_join(parts, separator)
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` written into the plan, and evaluated, only once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import price
 from ..functions.text import strip
 from ..sources.schemas import CLEAN_COLUMNS
+from ..sources.tables import computed
 
 # Fixed values. Grams and kilograms are weights: they belong to neither path.
 VOLUMETRIC_UNITS = ["ml", "l", "fl oz", "g", "kg"]
@@ -24,11 +25,13 @@ def clean_offers(web: DataFrame, manual: DataFrame | None = None) -> DataFrame:
     both = web.select(*CLEAN_COLUMNS)
     if manual is not None:
         both = both.unionByName(manual.select(*CLEAN_COLUMNS))
-    return both.withColumns({
+    cleaned = computed(both, {
         "price_sar": price.clean_price(F.col("price_sar")),
         "unit_of_measurement": F.lower(strip(F.col("unit_of_measurement"))),
-        "total_quantity": F.col("total_quantity").try_cast("double"),
     })
+    return cleaned.withColumn(
+        "total_quantity", F.col("total_quantity").try_cast("double")
+    ).select(*CLEAN_COLUMNS)
 
 
 def is_volumetric(unit: Column) -> Column:

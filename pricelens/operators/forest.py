@@ -14,6 +14,8 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import materialize
+
 CATEGORIES = ["type_of_product", "subindustry", "channel"]
 # Fixed values.
 UNKNOWN = "Desconocido"
@@ -58,7 +60,13 @@ def fit_forest(
     narrow = train.select(size, label, "approved_quote_price", *CATEGORIES).dropna(
         subset=[size, label]
     )
-    return Pipeline(stages=stages).fit(narrow.fillna(UNKNOWN, subset=CATEGORIES))
+    # Fitting reads the rows several times, so they are written once. Growing trees is
+    # bound by computing, not by bytes: a few small files are spread over all cores.
+    rows = materialize(narrow.fillna(UNKNOWN, subset=CATEGORIES), "train")
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:
+        rows = rows.repartition(cores)
+    return Pipeline(stages=stages).fit(rows)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

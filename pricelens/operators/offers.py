@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import sites
 from ..functions import price, quantity, relevance
 from ..functions.text import joined_text, strip
+from ..sources.tables import computed
 from .extract import all_of, first_of, within
 
 
@@ -103,7 +104,7 @@ def page_facts(raw: DataFrame) -> DataFrame:
         F.explode(F.when(F.col("site") == "aerosense", variations).otherwise(no_variation)),
     )
     plain_title = _filled(_text(first_of(nodes, "title")))
-    base = split.withColumns({
+    facts = computed(split, {
         "title": _by_site(
             {
                 "fine": F.coalesce(
@@ -147,7 +148,7 @@ def page_facts(raw: DataFrame) -> DataFrame:
     })
     constant = _by_site({s: F.lit(c) for s, c in sites.COMPANIES.items()})
     unknown = _by_site({s: F.lit(c) for s, c in sites.COMPANY_UNKNOWN.items()})
-    return base.withColumn(
+    return facts.withColumn(
         "company",
         F.coalesce(
             constant,
@@ -206,7 +207,7 @@ def with_quantity(facts: DataFrame) -> DataFrame:
     # A variation without a readable count keeps an empty quantity; other sites report 0.
     missing = F.when(F.col("site") != "aerosense", F.lit(0.0))
     return (
-        facts.withColumns({"found": found, "agreed": F.when(from_two, agreed)})
+        computed(facts, {"found": found, "agreed": F.when(from_two, agreed)})
         .withColumns({
             "total_quantity": F.coalesce(F.col("agreed.quantity"), F.col("found.quantity"), missing),
             "unit_of_measurement": F.coalesce(

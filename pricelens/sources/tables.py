@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 _BOM = "\ufeff"
@@ -100,3 +100,15 @@ def write_offers(df: DataFrame, path: str, mode: str) -> None:
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unknown mode {mode!r}")
     write_table(df, path, mode, by=["date"])
+
+
+def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add (or replace) columns that later filters read instead of recomputing.
+
+    A filter above a plain projection is pushed below it, expression and all,
+    so a costly expression would run in the filter and again in the projection.
+    Columns that come out of ``inline`` are ordinary attributes to the optimizer.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select(*[f"`{c}`" for c in kept], F.inline(F.array(row)))

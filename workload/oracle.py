@@ -14,7 +14,7 @@ def sub(key: str) -> str:
 
 def round2(value: str) -> str:
     """Half-up rounding of the shortest decimal form."""
-    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,14)), 2) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE)"
 
 
 CHANNEL = "CASE WHEN lower(subindustry) IN ('home','automotive','pets') THEN 'B2C' ELSE 'B2B' END"

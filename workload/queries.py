@@ -36,22 +36,31 @@ def _units(spark, folder):
     return clean.unit_offers(clean.clean_offers(b.web_offers(spark, folder)))
 
 
+def _written(offers_frame, *columns):
+    """Cleaned offers as a table: the percentile steps read it several times."""
+    wanted = offers_frame.select(*columns) if columns else offers_frame
+    return tables.materialize(wanted, "offers")
+
+
 @query
 def market_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Market minimum, maximum and offer count per type after the percentile trim."""
-    trimmed = market.trim_outliers(_volume(spark, folder), "price_per_liter")
+    priced = _written(_volume(spark, folder), "type_of_product", "price_per_liter")
+    trimmed = market.trim_outliers(priced, "price_per_liter")
     return market.market_stats(trimmed, "price_per_liter")
 
 
 @query
 def market_stats_units(spark, folder):
-    trimmed = market.trim_outliers(_units(spark, folder), "price_per_item")
+    priced = _written(_units(spark, folder), "type_of_product", "price_per_item")
+    trimmed = market.trim_outliers(priced, "price_per_item")
     return market.market_stats(trimmed, "price_per_item")
 
 
 @query
 def percentile_bounds(spark, folder):
-    bounds = market.percentile_bounds(_volume(spark, folder), "price_per_liter")
+    priced = _written(_volume(spark, folder), "type_of_product", "price_per_liter")
+    bounds = market.percentile_bounds(priced, "price_per_liter")
     return bounds.select(
         "type_of_product",
         F.round("lower_bound", 4).alias("lower_bound"),
@@ -61,9 +70,10 @@ def percentile_bounds(spark, folder):
 
 @query
 def outlier_trim(spark, folder):
-    return market.trim_outliers(_units(spark, folder), "price_per_item").select(
-        "type_of_product", "company", "price_sar", "total_quantity", "price_per_item"
-    )
+    columns = ["type_of_product", "company", "price_sar", "total_quantity", "price_per_item"]
+    return market.trim_outliers(
+        _written(_units(spark, folder), *columns), "price_per_item"
+    ).select(*columns)
 
 
 @query
@@ -197,19 +207,19 @@ def _own(spark, folder):
 
 @query
 def training_volume(spark, folder):
-    trimmed = market.trim_outliers(_volume(spark, folder), "price_per_liter")
+    trimmed = market.trim_outliers(_written(_volume(spark, folder)), "price_per_liter")
     return training.volume_training(trimmed, _own(spark, folder))
 
 
 @query
 def training_units(spark, folder):
-    trimmed = market.trim_outliers(_units(spark, folder), "price_per_item")
+    trimmed = market.trim_outliers(_written(_units(spark, folder)), "price_per_item")
     return training.unit_training(trimmed, _own(spark, folder))
 
 
 def _forest(spark, folder, train, size, label):
     path = f"{tables.shared_folder(spark)}/forest-{uuid.uuid4().hex}"
-    forest.save_model(forest.fit_forest(tables.materialize(train, "train"), size, label), path)
+    forest.save_model(forest.fit_forest(train, size, label), path)
     return path
 
 
