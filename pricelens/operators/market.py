@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
+from .joins import lookup_join
 
 LOWER, UPPER = 0.10, 0.90
 # Buckets per unit of ln(1 + |price|), and cuts of a bucket per refinement round.
@@ -65,16 +66,12 @@ def _first_targets(rows: DataFrame, key: str, probabilities: list[float]) -> Dat
 
 
 def _inside(rows: DataFrame, targets: DataFrame, key: str) -> DataFrame:
-    """Rows that lie in a target's bucket. Both sides agree on the key and the range."""
-    r, t = rows.alias("r"), targets.alias("t")
-    return r.join(
-        t,
-        (F.col(f"r.{key}") == F.col(f"t.{key}")) & F.col("r._v").between(F.col("_lo"), F.col("_hi")),
-    ).select(
-        F.col(f"t.{key}"), "_p", "_position", "_rank", "_before",
-        F.col("_lo").alias("_from"), F.col("_hi").alias("_to"),
-        F.col("_next").alias("_after"), "_v",
+    """Rows that lie in a target's bucket: one or two targets per key."""
+    wanted = targets.select(
+        key, "_p", "_position", "_rank", "_before",
+        F.col("_lo").alias("_from"), F.col("_hi").alias("_to"), F.col("_next").alias("_after"),
     )
+    return lookup_join(rows, wanted, [key]).filter(F.col("_v").between(F.col("_from"), F.col("_to")))
 
 
 _STATE = ["_p", "_position", "_rank", "_before", "_after"]
@@ -110,7 +107,8 @@ def percentile_bounds(
     """Exact per-key percentiles with linear interpolation.
 
     Returns ``key, lower_bound, upper_bound`` as a written table (one row per
-    key). Rows without key or value take no part.
+    key). Rows without key or value take no part. ``df`` is read two times or
+    more: pass a written table, not a plan that joins or parses.
     """
     rows = df.select(F.col(key), F.col(value).alias("_v")).filter(
         F.col(key).isNotNull() & F.col("_v").isNotNull() & ~F.isnan("_v")
@@ -154,7 +152,7 @@ def trim_outliers(
     if bounds is None:
         bounds = percentile_bounds(df, value, key, lower, upper)
     return (
-        df.join(bounds, key)
+        lookup_join(df, bounds, [key])
         .filter(F.col(value).between(F.col("lower_bound"), F.col("upper_bound")))
         .drop("lower_bound", "upper_bound")
     )

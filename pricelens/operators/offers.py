@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from .. import sites
 from ..functions import price, quantity, relevance
 from ..functions.text import joined_text, strip
-from ..sources.tables import computed
+from ..sources.tables import computed, materialize
 from .extract import all_of, first_of, within
+from .joins import lookup_join
 
 
 def _by_site(rules: dict[str, Column], default: Column | None = None) -> Column:
@@ -292,7 +293,8 @@ def first_industry(instructions: DataFrame) -> DataFrame:
 
 def assembled_offers(offers: DataFrame, instructions: DataFrame, run_date: Column) -> DataFrame:
     """The 13-column offer row; industry is that of its sub-industry's first instruction."""
-    return offers.drop("industry").join(first_industry(instructions), "subindustry", "left").select(
+    industries = materialize(first_industry(instructions), "industries")
+    return lookup_join(offers.drop("industry"), industries, ["subindustry"], "left").select(
         run_date.cast("date").alias("date"), "industry", "subindustry", "type_of_product",
         "generic_product_type", "product", "price_sar", "company",
         F.col("site").alias("source"), "url", "unit_of_measurement", "total_quantity", "channel",

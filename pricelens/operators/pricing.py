@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..sources.schemas import REPORT_COLUMNS
+from ..sources.tables import materialize
+from .joins import lookup_join
 from .training import OWN_COMPANY
 
 # Fixed values.
@@ -69,11 +71,11 @@ def price_report(predicted: DataFrame, stats: DataFrame) -> DataFrame:
     path = price_path(liters, pack)
     size = F.when(path == "volume", liters).when(path == "unit", pack)
     sized = predicted.withColumns({"path": path, "size": size})
-    joined = sized.join(
+    lookup = materialize(
         stats.select("type_of_product", "path", "market_min", "market_max", "competitor_count"),
-        ["type_of_product", "path"],
-        "left",
+        "stats",
     )
+    joined = lookup_join(sized, lookup, ["type_of_product", "path"], "left")
     cost = F.col("unit_cost_sar").cast("double")
     model_price = F.coalesce(
         F.col("predicted_price_per_unit") * F.col("size"), F.lit(0.0)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import price, text
 from ..sources.schemas import TRAIN_UNIT_COLUMNS, TRAIN_VOLUME_COLUMNS
+from ..sources.tables import materialize
+from .joins import lookup_join
 
 OWN_COMPANY = "Own brand"
 
@@ -59,6 +61,7 @@ def unit_training(trimmed: DataFrame, own: DataFrame) -> DataFrame:
 
 def predictable_products(catalog: DataFrame, types: DataFrame) -> DataFrame:
     """Catalogue products of a type the market data knows; the type is trimmed."""
-    return catalog.withColumn("type_of_product", text.strip(F.col("type_of_product"))).join(
-        types, "type_of_product", "left_semi"
+    trimmed = catalog.withColumn("type_of_product", text.strip(F.col("type_of_product")))
+    return lookup_join(
+        trimmed, materialize(types, "types"), ["type_of_product"], "left_semi"
     )

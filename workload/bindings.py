@@ -150,10 +150,9 @@ def erp_catalog(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sale_lines(spark: SparkSession, folder: str) -> DataFrame:
-    parts = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
-    return table(spark, folder, "lineitem").join(parts, "l_partkey").select(
+    return table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
-        text("[FP-", F.col("l_partkey"), "] ", F.col("p_name")).alias("name"),
+        text("[FP-", F.col("l_partkey"), "] line ", F.col("l_linenumber")).alias("name"),
         F.col("l_quantity").alias("product_uom_qty"),
         F.col("l_extendedprice").alias("price_subtotal"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("seq"),

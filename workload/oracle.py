@@ -140,9 +140,9 @@ ORACLE["recode"] = f"""WITH {MANUAL}
 SELECT channel, unit_of_measurement AS unit, count(*) AS offers FROM manual GROUP BY 1, 2"""
 
 QUOTES = """quotes AS (
- SELECT 'FP-' || l_partkey AS product_id, p_name AS description,
+ SELECT 'FP-' || l_partkey AS product_id, 'line ' || l_linenumber AS description,
   l_extendedprice / l_quantity AS approved_quote_price, l_orderkey * 8 + l_linenumber AS seq
- FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
+ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
  WHERE o_orderstatus = 'F' AND year(o_orderdate) = 1997 AND l_quantity > 0
   AND l_extendedprice > 0)"""
 LATEST = """latest AS (

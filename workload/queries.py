@@ -76,9 +76,15 @@ def outlier_trim(spark, folder):
     ).select(*columns)
 
 
+def _both_paths(spark, folder):
+    """Volume and unit offers cut from one written table of clean offers."""
+    offers_table = _written(clean.clean_offers(b.web_offers(spark, folder)))
+    return clean.volume_offers(offers_table), clean.unit_offers(offers_table)
+
+
 @query
 def known_types(spark, folder):
-    return market.known_types(_volume(spark, folder), _units(spark, folder))
+    return market.known_types(*_both_paths(spark, folder))
 
 
 # Cleaning --------------------------------------------------------------------
@@ -197,7 +203,7 @@ def predictable_products(spark, folder):
         .when(key % 11 == 0, b.text("X-", F.col("type_of_product")))
         .otherwise(F.col("type_of_product")),
     )
-    types = market.known_types(_volume(spark, folder), _units(spark, folder))
+    types = market.known_types(*_both_paths(spark, folder))
     return training.predictable_products(catalog, types).select("product_id", "type_of_product")
 
 
@@ -259,9 +265,10 @@ def forest_confidence(spark, folder):
 
 def _report(spark, folder):
     """The report for a given unit price, so that it can be checked without a model."""
+    volume, units = _both_paths(spark, folder)
     stats = pricing.both_stats(
-        market.market_stats(_volume(spark, folder), "price_per_liter"),
-        market.market_stats(_units(spark, folder), "price_per_item"),
+        market.market_stats(volume, "price_per_liter"),
+        market.market_stats(units, "price_per_item"),
     )
     key = F.col("seq")
     predicted = b.catalog(spark, folder).withColumns({
