@@ -29,6 +29,6 @@ def lookup_join(
         return df.join(F.broadcast(lookup), on, how)
     salted = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
     copies = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint")
+        "_salt", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(SALTS)]))
     )
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _schema(**columns: str) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in columns.items()))
+_TYPES = {
+    "string": T.StringType(), "double": T.DoubleType(), "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
 
 
-def _rename(names: list[str], kinds: list[str]) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"`{n}` {k}" for n, k in zip(names, kinds)))
+def _schema(names: list[str], kinds: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, _TYPES[k]) for n, k in zip(names, kinds, strict=True)])
 
 
 # Column headers of the exchanged tables (fixed values).
@@ -29,15 +31,15 @@ INSTRUCTION_HEADERS = [
     "Type of product", "Sub industry", "Industry", "Generic product type", "Search Modifiers",
 ]
 
-CATALOG_CSV = _rename(
+CATALOG_CSV = _schema(
     CATALOG_HEADERS,
     ["timestamp_ntz"] + ["string"] * 4 + ["double"] * 2 + ["string"] * 5 + ["double"] * 9,
 )
-MANUAL_OFFERS_CSV = _rename(
+MANUAL_OFFERS_CSV = _schema(
     MANUAL_OFFER_HEADERS, ["string"] * 7 + ["double", "string", "string", "string"]
 )
-INSTRUCTIONS_CSV = _rename(INSTRUCTION_HEADERS, ["string"] * 5)
-MODIFIERS_CSV = _rename(["Type of product", "Search Modifiers"], ["string"] * 2)
+INSTRUCTIONS_CSV = _schema(INSTRUCTION_HEADERS, ["string"] * 5)
+MODIFIERS_CSV = _schema(["Type of product", "Search Modifiers"], ["string"] * 2)
 
 CATALOG_NAMES = {
     "Product_ID": "product_id", "Product_Name": "product_name",
@@ -77,10 +79,12 @@ ERP_COMPETITOR_COLUMNS = [
 ]
 
 OFFERS = _schema(
-    date="date", industry="string", subindustry="string", type_of_product="string",
-    generic_product_type="string", product="string", price_sar="string", company="string",
-    source="string", url="string", unit_of_measurement="string", total_quantity="double",
-    channel="string",
+    [
+        "date", "industry", "subindustry", "type_of_product", "generic_product_type", "product",
+        "price_sar", "company", "source", "url", "unit_of_measurement", "total_quantity",
+        "channel",
+    ],
+    ["date"] + ["string"] * 10 + ["double", "string"],
 )
 CLEAN_COLUMNS = [
     "industry", "subindustry", "type_of_product", "generic_product_type", "price_sar",
