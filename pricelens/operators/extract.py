@@ -143,7 +143,7 @@ def raw_fields(
     ``fields`` maps a site to its selectors; key ``"*"`` serves every other
     site. A page that cannot be parsed yields a row with ``error`` set and no
     nodes, so one bad page never fails the job. Columns other than ``html`` are
-    passed through; select only those you need.
+    passed through; select only those you need. ``pages`` is parsed where it is.
     """
     kept = [c for c in pages.columns if c != html]
     schema = T.StructType(

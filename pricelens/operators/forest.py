@@ -14,7 +14,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.tables import materialize
+from ..sources.tables import at_most, materialize, spread_scan
 
 CATEGORIES = ["type_of_product", "subindustry", "channel"]
 # Fixed values.
@@ -63,10 +63,7 @@ def fit_forest(
     # Fitting reads the rows several times, so they are written once. Growing trees is
     # bound by computing, not by bytes: a few small files are spread over all cores.
     rows = materialize(narrow.fillna(UNKNOWN, subset=CATEGORIES), "train")
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < cores:
-        rows = rows.repartition(cores)
-    return Pipeline(stages=stages).fit(rows)
+    return Pipeline(stages=stages).fit(spread_scan(rows))
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -150,7 +147,7 @@ def predict(
     model = load_model(path)
     scored = model.transform(products)
     leaves = leaf_table(products, path)
-    if leaves.count() <= leaf_limit:
+    if at_most(leaves, leaf_limit):
         spread = _spread_in_tasks(scored, leaves)
     else:
         spread = _spread_by_join(scored, leaves, key)

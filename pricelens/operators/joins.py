@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import at_most
+
 # A lookup with at most this many rows is broadcast (some 20 MB of short rows).
 BROADCAST_ROWS = 200_000
 # Beyond it the lookup is repeated this often, so one hot key becomes this many keys.
@@ -25,7 +27,7 @@ def lookup_join(
     a salt: the rows of a hot key spread over ``SALTS`` tasks, each with its own
     copy of the lookup row. ``how`` is inner, left, left_semi or left_anti.
     """
-    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if at_most(lookup, broadcast_rows):
         return df.join(F.broadcast(lookup), on, how)
     salted = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
     copies = lookup.withColumn(

@@ -112,3 +112,18 @@ def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     kept = [c for c in df.columns if c not in columns]
     row = F.struct(*[value.alias(name) for name, value in columns.items()])
     return df.select(*[f"`{c}`" for c in kept], F.inline(F.array(row)))
+
+
+def at_most(df: DataFrame, rows: int) -> bool:
+    """Whether ``df`` has no more than ``rows`` rows; looks at no more than one row beyond."""
+    return not df.select(F.lit(1)).offset(rows).head(1)
+
+
+def spread_scan(scan: DataFrame) -> DataFrame:
+    """Deal a table of fewer splits than cores out to all cores.
+
+    For work bound by computing. ``scan`` is a table as read: a small one comes
+    in one or two splits, hence tasks; one with splits enough is never shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

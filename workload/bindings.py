@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricelens.sources.tables import spread_scan
+
 SUBINDUSTRIES = ["Home", "Automotive", "Pets", "Hotels", "Gyms", "Healthcare"]
 OFFER_UNITS = ["mL", " L ", "fl oz", "g", "Units"]
 KINDS = [
@@ -26,8 +28,10 @@ MODIFIERS = [
 QUOTE_YEAR = 1997
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def table(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
+    """A given table; ``spread`` for heavy work, which a single split would do on one core."""
+    scan = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread_scan(scan) if spread else scan
 
 
 def pick(position: Column, values: list[str | None]) -> Column:
@@ -69,7 +73,7 @@ def web_offers(spark: SparkSession, folder: str) -> DataFrame:
     """Shop offers: one per order line, priced in text."""
     size = F.col("p_size")
     unit = F.when(size % 6 < 5, pick(size % 6, OFFER_UNITS))
-    lines = table(spark, folder, "lineitem").select(
+    lines = table(spark, folder, "lineitem", spread=True).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"
     )
     parts = table(spark, folder, "part").select(
@@ -150,7 +154,7 @@ def erp_catalog(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sale_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "lineitem").select(
+    return table(spark, folder, "lineitem", spread=True).select(
         F.col("l_orderkey").alias("order_id"),
         text("[FP-", F.col("l_partkey"), "] line ", F.col("l_linenumber")).alias("name"),
         F.col("l_quantity").alias("product_uom_qty"),
@@ -228,7 +232,7 @@ def titles(spark: SparkSession, folder: str) -> DataFrame:
         text(name, " (carton of 4x", size, ") 7 bottles"),
     ]
     chosen = F.get(F.array(*forms), F.pmod(key, F.lit(len(forms))).cast("int"))
-    return table(spark, folder, "part").select(key.alias("p_partkey"), chosen.alias("title"))
+    return table(spark, folder, "part", spread=True).select(key.alias("p_partkey"), chosen.alias("title"))
 
 
 def spec_pages(spark: SparkSession, folder: str) -> DataFrame:
@@ -266,7 +270,7 @@ def spec_pages(spark: SparkSession, folder: str) -> DataFrame:
 def quantity_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Three texts that state a volume, agreeing or not."""
     key, size = F.col("p_partkey"), F.col("p_size")
-    return table(spark, folder, "part").select(
+    return table(spark, folder, "part", spread=True).select(
         "p_partkey",
         F.when(key % 5 == 0, F.col("p_name")).otherwise(text(size * 25, " ml ", F.col("p_name")))
         .alias("title"),
@@ -284,7 +288,7 @@ def site_searches(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_partkey").alias("l_partkey"), "p_name", "p_size"
     )
     names = ["amazon", "mumzworld", "saco", "fine", "gogreen", "officesupply", "aerosense"]
-    return table(spark, folder, "lineitem").join(parts, "l_partkey").select(
+    return table(spark, folder, "lineitem", spread=True).join(parts, "l_partkey").select(
         pick(F.col("l_suppkey"), names).alias("site"),
         F.element_at(F.split("p_name", " "), -1).alias("search_keyword"),
         F.when(F.col("l_linenumber") % 5 == 0, F.lit(None)).otherwise(F.col("p_name"))
@@ -368,7 +372,7 @@ def shop_pages(spark: SparkSession, folder: str) -> DataFrame:
         .when(site == "saco", saco).when(site == "fine", fine).when(site == "gogreen", gogreen)
         .when(site == "officesupply", officesupply).otherwise(aerosense)
     )
-    return table(spark, folder, "part").select(
+    return table(spark, folder, "part", spread=True).select(
         key.alias("p_partkey"),
         site.alias("site"),
         either(F.lit("units"), F.lit("volume")).alias("search_mode"),
@@ -405,7 +409,7 @@ def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
 
     html = F.when(site == "amazon", cards("amazon")).when(site == "mumzworld", cards("mumzworld"))
     html = html.when(site == "saco", cards("saco")).otherwise(cards("gogreen"))
-    return table(spark, folder, "part").select(
+    return table(spark, folder, "part", spread=True).select(
         key.alias("p_partkey"), site.alias("site"),
         F.lit("https://shop.example/en/list").alias("url"), html.alias("html"),
     )

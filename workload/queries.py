@@ -78,7 +78,10 @@ def outlier_trim(spark, folder):
 
 def _both_paths(spark, folder):
     """Volume and unit offers cut from one written table of clean offers."""
-    offers_table = _written(clean.clean_offers(b.web_offers(spark, folder)))
+    offers_table = _written(
+        clean.clean_offers(b.web_offers(spark, folder)),
+        "type_of_product", "unit_of_measurement", "total_quantity", "price_sar",
+    )
     return clean.volume_offers(offers_table), clean.unit_offers(offers_table)
 
 
@@ -126,7 +129,7 @@ def clean_price(spark, folder):
         ),
         F.pmod(F.col("l_linenumber") + F.col("l_suppkey"), F.lit(7)).cast("int"),
     )
-    return b.table(spark, folder, "lineitem").select(
+    return b.table(spark, folder, "lineitem", spread=True).select(
         "l_orderkey", "l_linenumber", price.clean_price(written).alias("price")
     )
 
@@ -444,11 +447,19 @@ def agree_quantity(spark, folder):
 def site_price(spark, folder):
     """The seven ways shops write a price."""
     amount = F.col("l_extendedprice")
-    grouped = F.format_number(amount, 2)
-    whole, cents = F.substring_index(grouped, ".", 1), F.substring_index(grouped, ".", -1)
-    has_cents = F.col("l_linenumber") % 3 > 0
+    lines = b.table(spark, folder, "lineitem", spread=True).select(
+        "l_orderkey", "l_linenumber", "l_extendedprice",
+        F.format_number(amount, 2).alias("grouped"),
+    )
+    grouped = F.col("grouped")
+    shown = tables.computed(lines, {
+        "whole": F.substring_index(grouped, ".", 1),
+        "cents": F.substring_index(grouped, ".", -1),
+        "has_cents": F.col("l_linenumber") % 3 > 0,
+    })
+    whole, cents, has_cents = F.col("whole"), F.col("cents"), F.col("has_cents")
     shown_cents = F.when(has_cents, cents)
-    return b.table(spark, folder, "lineitem").select(
+    return shown.select(
         "l_orderkey", "l_linenumber",
         price.whole_and_fraction(b.text(whole, "."), shown_cents).alias("whole_fraction"),
         price.after_sar(b.text("Now Sar  ", grouped, " incl. VAT")).alias("after_sar"),
@@ -468,7 +479,7 @@ def site_price(spark, folder):
 
 
 def _generic(spark, folder):
-    pages = b.table(spark, folder, "pages").withColumn("site", F.lit("*"))
+    pages = b.table(spark, folder, "pages", spread=True).withColumn("site", F.lit("*"))
     return extract.raw_fields(pages, {"*": sites.GENERIC_FIELDS})
 
 
