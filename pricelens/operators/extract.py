@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 # Executors need no installed copy of this module: its code travels with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-NODE = "struct<field:string,start:int,end:int,texts:array<string>,href:string>"
+# ``parts``: the stripped, non-empty text nodes; ``text``: all text as it stands.
+NODE = "field string, start int, end int, parts array<string>, text string, href string"
 
 _VOID = {
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source",
@@ -64,7 +65,7 @@ class _Finder(HTMLParser):
             node, self.text = "".join(self.text), []
             for element in self.open:
                 for match in element["matches"]:
-                    match["texts"].append(node)
+                    match["text"].append(node)
 
     def _matches(self, element: dict, steps: list[tuple]) -> bool:
         if not _fits(element, steps[-1]):
@@ -89,7 +90,7 @@ class _Finder(HTMLParser):
         for name, steps in self.rules:
             if self._matches(element, steps):
                 element["matches"].append({
-                    "field": name, "start": self.count, "end": None, "texts": [],
+                    "field": name, "start": self.count, "end": None, "text": [],
                     "href": None if href is None else urljoin(self.base_url, href),
                 })
         self.found.extend(element["matches"])
@@ -121,6 +122,9 @@ class _Finder(HTMLParser):
 
     def _close(self, element: dict) -> None:
         for match in element["matches"]:
+            stripped = (node.strip() for node in match["text"])
+            match["parts"] = [node for node in stripped if node]
+            match["text"] = "".join(match["text"])
             match["end"] = self.count
 
     def finish(self) -> list[dict]:
@@ -149,7 +153,7 @@ def raw_fields(
     schema = T.StructType(
         [f for f in pages.schema if f.name != html]
         + [
-            T.StructField("nodes", T.ArrayType(T.StructType.fromDDL(NODE[7:-1]))),
+            T.StructField("nodes", T.ArrayType(T.StructType.fromDDL(NODE))),
             T.StructField("error", T.StringType()),
         ]
     )
@@ -207,7 +211,7 @@ def listing_links(raw: DataFrame) -> DataFrame:
         all_of(F.col("nodes"), "card"),
         lambda card: F.get(all_of(within(F.col("nodes"), card), "link"), F.lit(0)),
     )
-    text = F.array_join(F.col("link.texts"), "")
+    text = F.col("link.text")
     return (
         raw.select("*", F.posexplode(cards).alias("rank", "link"))
         .filter(F.col("link.href").isNotNull())

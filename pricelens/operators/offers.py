@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import sites
 from ..functions import price, quantity, relevance
-from ..functions.text import joined_text, strip
+from ..functions.text import strip
 from ..sources.tables import computed, materialize
 from .extract import all_of, first_of, within
 from .joins import lookup_join
@@ -24,7 +24,7 @@ def _by_site(rules: dict[str, Column], default: Column | None = None) -> Column:
 
 
 def _text(node: Column, separator: str = "") -> Column:
-    return joined_text(node["texts"], separator)
+    return F.array_join(node["parts"], separator)
 
 
 def _filled(value: Column) -> Column:
@@ -76,36 +76,44 @@ def page_facts(raw: DataFrame) -> DataFrame:
     A page with package variations becomes one row per variation.
     """
     nodes = F.col("nodes")
-    amazon_value = lambda row: _text(first_of(within(nodes, first_of(nodes, row)), "row_value"))
-    price_box = F.coalesce(first_of(nodes, "price_box"), first_of(nodes, "price_box_2"))
-    numbers = all_of(within(nodes, price_box), "price_number")
-    with_digits = F.filter(numbers, lambda n: F.array_join(n["texts"], "").rlike(r"\d"))
-    price_number = F.coalesce(
-        F.get(with_digits, F.lit(0)), F.try_element_at(numbers, F.lit(-1))
-    )
-    price_sup = first_of(within(nodes, price_number), "price_sup")
+    site = F.col("site")
     variations = F.filter(
         F.transform(
             all_of(nodes, "variation"),
             lambda v: F.struct(
-                strip(F.array_join(first_of(within(nodes, v), "package")["texts"], ""))
-                .alias("package"),
-                F.array_join(first_of(within(nodes, v), "price")["texts"], "").alias("price"),
+                strip(first_of(within(nodes, v), "package")["text"]).alias("package"),
+                first_of(within(nodes, v), "price")["text"].alias("price"),
             ),
         ),
         lambda v: v["package"].isNotNull() & v["price"].isNotNull(),
     )
     no_variation = F.array(F.lit(None).cast("struct<package:string,price:string>"))
-    brand_rows = F.filter(
-        _spec_rows(nodes), lambda r: F.contains(r["label"], F.lit("Brand:"))
+    split = raw.withColumn(
+        "variation", F.explode(F.when(site == "aerosense", variations).otherwise(no_variation))
     )
 
-    split = raw.withColumn(
-        "variation",
-        F.explode(F.when(F.col("site") == "aerosense", variations).otherwise(no_variation)),
+    # First element of every field, and the parts found inside another element.
+    title, shown_price = first_of(nodes, "title"), first_of(nodes, "price")
+    price_box = F.coalesce(first_of(nodes, "price_box"), first_of(nodes, "price_box_2"))
+    row_text = lambda row: _text(first_of(within(nodes, first_of(nodes, row)), "row_value"))
+    first = computed(split, {
+        "title_node": title,
+        "price_node": shown_price,
+        "numbers": all_of(within(nodes, price_box), "price_number"),
+        "brand": F.when(site == "amazon", row_text("brand_row")),
+        "item_volume": F.when(site == "amazon", row_text("item_row")),
+        "spec_rows": F.when(site == "fine", _cell_rows(nodes)).otherwise(_spec_rows(nodes)),
+    })
+    numbers = F.col("numbers")
+    with_digits = F.filter(numbers, lambda n: n["text"].rlike(r"\d"))
+    second = first.withColumn(
+        "number",
+        F.coalesce(F.get(with_digits, F.lit(0)), F.try_element_at(numbers, F.lit(-1))),
     )
-    plain_title = _filled(_text(first_of(nodes, "title")))
-    facts = computed(split, {
+    title, shown_price, number = F.col("title_node"), F.col("price_node"), F.col("number")
+    plain_title = _filled(_text(title))
+    brand_rows = F.filter("spec_rows", lambda r: F.contains(r["label"], F.lit("Brand:")))
+    facts = computed(second, {
         "title": _by_site(
             {
                 "fine": F.coalesce(
@@ -113,10 +121,7 @@ def page_facts(raw: DataFrame) -> DataFrame:
                     _filled(_text(first_of(nodes, "title_2"))),
                     _filled(_text(first_of(nodes, "title_3"))),
                 ),
-                "aerosense": F.coalesce(
-                    strip(F.array_join(first_of(nodes, "title")["texts"], "")),
-                    F.lit("Unknown Product"),
-                ),
+                "aerosense": F.coalesce(strip(title["text"]), F.lit("Unknown Product")),
             },
             plain_title,
         ),
@@ -125,28 +130,27 @@ def page_facts(raw: DataFrame) -> DataFrame:
                 "amazon": price.whole_and_fraction(
                     _text(first_of(nodes, "price_whole")), _text(first_of(nodes, "price_fraction"))
                 ),
-                "mumzworld": price.integer_price(_text(first_of(nodes, "price"))),
-                "saco": _text(first_of(nodes, "price"), "."),
-                "fine": price.after_sar(_text(first_of(nodes, "price"), " ")),
-                "gogreen": price.two_decimals(F.array_join(first_of(nodes, "price")["texts"], "")),
+                "mumzworld": price.integer_price(_text(shown_price)),
+                "saco": _text(shown_price, "."),
+                "fine": price.after_sar(_text(shown_price, " ")),
+                "gogreen": price.two_decimals(shown_price["text"]),
                 "officesupply": price.superscript_price(
-                    F.array_join(price_number["texts"], ""), F.array_join(price_sup["texts"], "")
+                    number["text"], first_of(within(nodes, number), "price_sup")["text"]
                 ),
                 "aerosense": price.euro_price(F.col("variation.price")).cast("string"),
             }),
             F.lit(price.NO_PRICE),
         ),
-        "brand": _by_site({
-            "amazon": amazon_value("brand_row"),
-            "saco": F.get(F.filter(brand_rows, lambda r: r["value"] != ""), F.lit(0))["value"],
-        }),
-        "spec_rows": _by_site(
-            {"fine": _cell_rows(nodes), "amazon": _spec_rows(nodes)},
-            F.array().cast("array<struct<label:string,value:string>>"),
-        ),
-        "item_volume": _by_site({"amazon": amazon_value("item_row")}),
+        "brand": F.when(
+            site == "saco",
+            F.get(F.filter(brand_rows, lambda r: r["value"] != ""), F.lit(0))["value"],
+        ).otherwise(F.col("brand")),
         "package": F.col("variation.package"),
-    })
+        # Handed on, not left behind: a column that only skips over this step is lost
+        # by Spark 4.1 column pruning when a later step reads it.
+        "item_volume": F.col("item_volume"),
+        "spec_rows": F.col("spec_rows"),
+    }).drop("title_node", "price_node", "numbers", "number")
     constant = _by_site({s: F.lit(c) for s, c in sites.COMPANIES.items()})
     unknown = _by_site({s: F.lit(c) for s, c in sites.COMPANY_UNKNOWN.items()})
     return facts.withColumn(
@@ -179,21 +183,17 @@ def with_quantity(facts: DataFrame) -> DataFrame:
 
     about_wipes = F.lower("search_keyword").rlike("wipes|rags")
     agreed = quantity.agreed_volume(title, spec_value(rows, "volume"), F.col("item_volume"))
+    counted, volume = quantity.count(title), quantity.volume(title)
+    with_packs = F.when(units, counted).otherwise(quantity.volume_with_multiplier(title))
     found = _by_site({
         "amazon": F.when(
             units & about_wipes, plain(_positive(quantity.wipes_total(title)), "units")
-        ).when(units, quantity.count(title)),
+        ).when(units, counted),
         "mumzworld": quantity.listing_quantity(title, mode),
-        "saco": F.when(units, quantity.hyphen_or_plain_count(title)).otherwise(
-            quantity.volume(title)
-        ),
+        "saco": F.when(units, F.coalesce(quantity.hyphen_count(title), counted)).otherwise(volume),
         "fine": quantity.spec_quantity(rows, title, mode),
-        "gogreen": F.when(units, quantity.count(title)).otherwise(
-            quantity.volume_with_multiplier(title)
-        ),
-        "officesupply": F.when(units, quantity.count(title)).otherwise(
-            quantity.volume_with_multiplier(title)
-        ),
+        "gogreen": with_packs,
+        "officesupply": with_packs,
         "aerosense": F.when(units, plain(quantity.package_units(package), "units")).otherwise(
             plain(quantity.package_volume_ml(package), "ml")
         ),

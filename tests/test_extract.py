@@ -87,11 +87,11 @@ def test_broken_and_odd_html(spark):
     ], "site string, url string, html string")
     raw = extract.raw_fields(frame, {"*": {"link": "a"}})
     found = raw.select("url", "error", F.transform("nodes", lambda n: n["href"]).alias("h"),
-                       F.transform("nodes", lambda n: F.array_join(n["texts"], "|")).alias("t")).collect()
+                       F.transform("nodes", lambda n: F.array_join(n["parts"], "|")).alias("t")).collect()
     assert [tuple(r) for r in found] == [
         ("https://a.example/x/", None, ["https://a.example/x/y", None], ["one|two", "no"]),
         ("https://a.example", None, [], []),
-        (None, None, ["/q", "//b.example/"], ["t |u", ""]),
+        (None, None, ["/q", "//b.example/"], ["t|u", ""]),
     ]
 
 

@@ -486,7 +486,7 @@ def _generic(spark, folder):
 @query
 def page_fields(spark, folder):
     nodes = F.col("nodes")
-    joined = lambda field: text.joined_text(extract.first_of(nodes, field)["texts"])
+    joined = lambda field: F.array_join(extract.first_of(nodes, field)["parts"], "")
     return _generic(spark, folder).select(
         "page_id", joined("heading").alias("heading"), joined("page_title").alias("page_title"),
         F.col("error").isNotNull().alias("failed"),
@@ -500,7 +500,7 @@ def page_links(spark, folder):
         .select("page_id", F.posexplode(extract.all_of(F.col("nodes"), "link")))
         .select(
             "page_id", F.col("pos").cast("bigint").alias("rank"), F.col("col.href").alias("url"),
-            F.array_join("col.texts", "").alias("label"),
+            F.col("col.text").alias("label"),
         )
         .filter(F.col("url").isNotNull())
     )
