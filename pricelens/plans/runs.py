@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sites
@@ -54,6 +54,8 @@ class PriceRun:
         self.settings = settings
         self.state = RunState(spark, self.base)
         self.store = SuggestionStore(spark, self.base)
+        # Rows written per stage of the last run, counted while writing.
+        self.row_counts: dict[str, int] = {}
 
     def run(self, landed: Landed, run_id: str, now: dt.datetime, mode: str | None = None) -> str:
         """Run in the given mode, or in the one the last full run calls for.
@@ -88,9 +90,15 @@ class PriceRun:
 
     def _stage(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.base}/{name}"
-        tables.write_table(df, path)
+        seen = Observation(name)
+        tables.write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+        self.row_counts[name] = seen.get["rows"]
         return self.spark.read.parquet(path)
 
+    def loss_products(self) -> DataFrame:
+        """How many suggested prices of the last report do not exceed the cost."""
+        return pricing.loss_count(self.read("report"))
+
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.base}/{name}")
 

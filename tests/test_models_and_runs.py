@@ -188,6 +188,9 @@ def test_full_then_partial_run(spark, tmp_path):
     counts = {r.source: r.n for r in run.read("offers").groupBy("source").agg(F.count("*").alias("n")).collect()}
     assert counts == {"saco": 8, "mumzworld": 7}
     assert ids_of(run.store.current()) == ["FP-1", "FP-2"]
+    assert run.row_counts["report"] == 2 and run.row_counts["page_offers"] == 24
+    assert run.row_counts["volume_offers"] == 9 and run.row_counts["unit_offers"] == 7
+    assert tuple(run.loss_products().first()) == (0, 2)
 
     assert run.run(landed(spark), "r2", dt.datetime(2025, 3, 2)) == "nothing new"
     assert run.run(landed(spark, new_product=True), "r3", dt.datetime(2025, 3, 10)) == "partial"

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pricelens.operators import clean, incremental, offers, pricing, searchplan, training
-from pricelens.sources import erp, schemas, tables
+from pricelens.sources import erp, files, schemas, tables
 
 OFFER = (
     "industry string, subindustry string, type_of_product string, generic_product_type string, "
@@ -230,3 +230,35 @@ def test_offer_limits(spark):
                       ("amazon", "soap"): (40, 39), ("fine", "gel"): (1, 1)}
     plan = capped._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2  # limited per task before the shuffle
+
+
+def test_exchanged_files_keep_their_headers(spark, tmp_path):
+    catalog = spark.createDataFrame(
+        [("FP-1", "H1-Soap", "Home", 1.5, dt.datetime(2025, 1, 2, 3, 4, 5))],
+        "product_id string, type_of_product string, subindustry string, volume_liters double, "
+        "create_date timestamp_ntz",
+    )
+    path = str(tmp_path / "catalog")
+    files.write_catalog(catalog, path)
+    assert spark.read.option("header", True).csv(path).columns == schemas.CATALOG_HEADERS
+    row = files.read_catalog(spark, path).first()
+    assert (row.product_id, row.type_of_product, row.volume_liters, row.create_date, row.industry) == (
+        "FP-1", "H1-Soap", 1.5, dt.datetime(2025, 1, 2, 3, 4, 5), None)
+
+    plan = searchplan.instruction_list(catalog_of(spark, [("1", "T", "Home", "I", "G")]))
+    files.write_instructions(plan, str(tmp_path / "plan"))
+    assert files.read_instructions(spark, str(tmp_path / "plan")).first().generic_product_type == "G"
+
+    manual = erp.manual_offers(spark.createDataFrame([(5.0, "ml")], "price_unit_sar double, uom string"))
+    files.write_manual_offers(manual, str(tmp_path / "manual"))
+    back = files.read_manual_offers(spark, str(tmp_path / "manual")).first()
+    assert (back.price_sar, back.unit_of_measurement, back.channel) == ("5.0", "mL", "Unknown")
+
+
+def test_modifiers_file_may_be_missing(spark, tmp_path):
+    assert files.read_modifiers(spark, str(tmp_path / "none.csv")) is None
+    (tmp_path / "odd.csv").write_text("a,b\n1,2\n")
+    assert files.read_modifiers(spark, str(tmp_path / "odd.csv")) is None
+    (tmp_path / "good.csv").write_text("Type of product,Search Modifiers\nH1-Soap,fine:x; y\nH2-Gel,\n")
+    rows = files.read_modifiers(spark, str(tmp_path / "good.csv")).collect()
+    assert [tuple(r) for r in rows] == [("H1-Soap", "fine:x; y"), ("H2-Gel", None)]
