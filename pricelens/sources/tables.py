@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
@@ -11,16 +12,18 @@ from pyspark.sql import functions as F
 _BOM = "\ufeff"
 
 
+@cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="pricelens-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the session's ``spark.checkpoint.dir``.
 
     Only a session without that setting (a local test) gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="pricelens-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    return (folder or _own_folder(spark.sparkContext.applicationId)).rstrip("/")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
