@@ -25,6 +25,7 @@ from functools import cache
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -254,7 +255,7 @@ def encode_column(path: str):
     """A vectorised function: text to ids as little-endian 32-bit bytes."""
 
     @F.pandas_udf("binary")
-    def encode(texts):
+    def encode(texts: pd.Series) -> pd.Series:
         return texts.map(codec(path).encode)
 
     return encode
@@ -264,7 +265,7 @@ def decode_column(path: str):
     """A vectorised function: such bytes to text."""
 
     @F.pandas_udf("string")
-    def decode(ids):
+    def decode(ids: pd.Series) -> pd.Series:
         return ids.map(lambda x: None if x is None else codec(path).decode(x).decode())
 
     return decode

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing, toxicity
+from . import ann, bpe, hamming, langid, licenses, packing, simhash, toxicity
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -48,3 +48,60 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels")
     scored = toxicity.learned(docs, labels)
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of all documents."""
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op1_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of all documents, learned from three quarters of them."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    found = langid.identify(docs, "_found")
+    return found.select(
+        "doc_id", held_out().alias("held_out"), "_found.lang_pred", "_found.score"
+    )
+
+
+@query
+def op3_hamming(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 nearest sign codes of every 20th vector, by Hamming distance."""
+    codes = table(spark, folder, "embeddings").select(
+        F.col("vec_id").alias("id"), hamming.sign_code(F.col("embedding")).alias("code")
+    )
+    return hamming.nearest_codes(codes, F.col("id") % 20 == 0).select(
+        "query_id", "rank", "vec_id", "distance"
+    )
+
+
+ORACLE["op3_hamming"] = """
+WITH codes AS (
+    SELECT vec_id, list_aggregate(list_transform(range(64), lambda i:
+        CASE WHEN embedding[i + 1] > 0 THEN (1::UBIGINT << i::UBIGINT) ELSE 0::UBIGINT END), 'bit_or') AS code
+    FROM embeddings WHERE len(embedding) = 64
+), ranked AS (
+    SELECT q.vec_id AS query_id, c.vec_id, bit_count(xor(q.code, c.code))::INTEGER AS distance,
+        row_number() OVER (PARTITION BY q.vec_id
+            ORDER BY bit_count(xor(q.code, c.code)), c.vec_id)::INTEGER AS rank
+    FROM codes q JOIN codes c ON c.vec_id <> q.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, rank, vec_id, distance FROM ranked WHERE rank <= 10
+"""
+
+
+@query
+def op6_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 nearest vectors found of every 100th vector."""
+    return ann.nearest(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
+@query
+def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and templates in all documents."""
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+ORACLE["op2_licenses"] = licenses.oracle_sql()
