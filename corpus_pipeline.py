@@ -9,16 +9,34 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pricelens.llm import packing, toxicity
+from pricelens.llm import langid, packing, simhash, toxicity
 from pricelens.llm.common import table, written
 from pricelens.llm.queries import VOCABULARY
 
 
+#: A document whose language is less certain than this is rejected, as is one without letters.
+LEAST_CERTAIN = 0.55
+
+
 def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject."""
-    scored = toxicity.learned(docs, table(spark, sf_dir, "labels"))
-    return scored.filter("predicted = 0").select(*docs.columns)
+    scored = toxicity.learned(docs, table(spark, sf_dir, "labels"), "_toxicity")
+    return scored.filter(toxicity.predicted("_toxicity") == 0).select(*docs.columns)
+
+
+def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that can be told."""
+    found = langid.identify(docs, "_language")
+    certain = (F.col("_language.lang_pred") != langid.UNDETERMINED) & (
+        F.col("_language.score") >= LEAST_CERTAIN)
+    return found.filter(certain).select(*docs.columns)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return simhash.one_of_each(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,6 +46,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("toxicity", keep_civil),
+    ("language", keep_identified),
+    ("near-dedup", keep_one_of_each),
     ("packing", pack),
 ]
 

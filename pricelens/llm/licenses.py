@@ -185,9 +185,9 @@ def oracle_sql() -> str:
         for label, t, m in TEMPLATES for i, w in enumerate(m.split())
     )
     return f"""
-WITH phrases(phrase, label, at, w) AS (VALUES {phrase_words}),
-templates(label, at, w) AS (VALUES {template_words}),
-needed(label, at, w) AS (VALUES {needed}),
+WITH phrases(phrase, label, place, w) AS (VALUES {phrase_words}),
+templates(label, place, w) AS (VALUES {template_words}),
+needed(label, place, w) AS (VALUES {needed}),
 numbered AS (
     SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -204,8 +204,8 @@ idf AS (
     FROM known LEFT JOIN hits USING (w) GROUP BY w
 ),
 based AS (
-    SELECT r, label, h.pos - p.at AS begin FROM hits h JOIN phrases p USING (w)
-    GROUP BY r, label, phrase, begin
+    SELECT r, label, h.pos - p.place AS start FROM hits h JOIN phrases p USING (w)
+    GROUP BY r, label, phrase, start
     HAVING count(*) = (SELECT count(*) FROM phrases q WHERE q.phrase = p.phrase)
 ),
 keyed AS (
@@ -213,28 +213,29 @@ keyed AS (
     QUALIFY row_number() OVER (PARTITION BY label ORDER BY weight DESC, w) <= {KEYS}
 ),
 begins AS (
-    SELECT DISTINCT r, label, h.pos - t.at AS begin
+    SELECT DISTINCT r, label, h.pos - t.place AS start
     FROM hits h JOIN templates t USING (w) JOIN keyed USING (label, w)
 ),
 covered AS (
-    SELECT b.r, b.label, b.begin, sum(weight) AS got
+    SELECT b.r, b.label, b.start, sum(weight) AS got
     FROM begins b JOIN templates t USING (label)
-    JOIN hits h ON h.r = b.r AND h.w = t.w AND h.pos = b.begin + t.at JOIN idf ON idf.w = t.w
+    JOIN hits h ON h.r = b.r AND h.w = t.w AND h.pos = b.start + t.place JOIN idf ON idf.w = t.w
     GROUP BY ALL
 ),
 complete AS (
-    SELECT b.r, b.label, b.begin FROM begins b JOIN needed n USING (label)
-    JOIN hits h ON h.r = b.r AND h.w = n.w AND h.pos = b.begin + n.at
-    GROUP BY ALL HAVING count(*) = (SELECT count(*) FROM needed m WHERE m.label = b.label)
+    SELECT b.r, b.label, b.start FROM begins b JOIN needed n USING (label)
+    JOIN hits h ON h.r = b.r AND h.w = n.w AND h.pos = b.start + n.place
+    GROUP BY b.r, b.label, b.start
+    HAVING count(*) = (SELECT count(*) FROM needed m WHERE m.label = b.label)
 ),
 matched AS (
     SELECT c.r, c.label, max(c.got / total) AS share
-    FROM covered c JOIN complete USING (r, label, begin)
+    FROM covered c JOIN complete USING (r, label, start)
     JOIN (SELECT label, sum(weight) AS total FROM templates JOIN idf USING (w) GROUP BY label) USING (label)
     GROUP BY ALL HAVING share >= {COVERED}
 ),
 base AS (
-    SELECT r, count(*) AS n_base, min(begin) AS first_word, max(begin) AS last_word,
+    SELECT r, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
     FROM based GROUP BY r
 ),
@@ -244,6 +245,6 @@ every AS (
 )
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
     coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
-    round(CASE WHEN n_base > 0 THEN 1 ELSE coalesce(least(best, 1), 0) END, 6)::DOUBLE AS score
+    round(CASE WHEN n_base > 0 THEN 1 ELSE least(coalesce(best, 0), 1) END, 6)::DOUBLE AS score
 FROM numbered LEFT JOIN base USING (r) LEFT JOIN every USING (r)
 """

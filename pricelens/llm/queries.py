@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, hamming, langid, licenses, packing, simhash, toxicity
-from .common import table
+from . import ann, bpe, hamming, html_text, langid, licenses, packing, shards, simhash, toxicity
+from .common import new_folder, table
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -44,10 +44,11 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of all documents, learned from the labels of three quarters."""
-    docs = table(spark, folder, "documents")
-    labels = table(spark, folder, "labels")
-    scored = toxicity.learned(docs, labels)
-    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity.learned(docs, table(spark, folder, "labels"))
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", toxicity.predicted("score").alias("predicted")
+    )
 
 
 @query
@@ -105,3 +106,19 @@ def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op2_licenses"] = licenses.oracle_sql()
+
+
+@query
+def op5_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_text.extract(table(spark, folder, "pages"))
+
+
+@query
+def op4_training_order(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents' sequences as read back, in slot order, from the shards written of them."""
+    path = new_folder(spark, "shards")
+    shards.write_shards(
+        table(spark, folder, "documents"), path, public_tokenizers.path(VOCABULARY), key=20_240_229
+    )
+    return shards.digests(shards.read_shards(spark, path))

@@ -33,7 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE = 2_000
@@ -397,13 +397,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> l
         "doc_id", "text", "toxic").orderBy("doc_id", "toxic", F.xxhash64("text")).limit(4 * sample).collect()
 
 
-def score(docs: DataFrame, model: Model | None, name: str) -> DataFrame:
-    """All rows and columns of ``docs`` with ``score`` and ``predicted``; one pass, no shuffle.
+def score(docs: DataFrame, model: Model | None, name: str, into: str = "score") -> DataFrame:
+    """All rows and columns of ``docs`` with their score as column ``into``; one pass, no shuffle.
 
     ``name`` distinguishes models in long-lived Python workers.
     """
     if model is None:
-        return docs.withColumns({"score": F.lit(0.0), "predicted": F.lit(0)})
+        return docs.withColumn(into, F.lit(0.0))
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -416,13 +416,16 @@ def score(docs: DataFrame, model: Model | None, name: str) -> DataFrame:
             groups = (values[at:at + 500] for at in range(0, len(values), 500))
             yield pd.Series([x for group in groups for x in own.score(group)], dtype="float64")
 
-    return docs.withColumn("score", scored("text")).withColumn(
-        "predicted", (F.col("score") >= THRESHOLD).cast("int")
-    )
+    return docs.withColumn(into, scored("text"))
 
 
-def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def learned(docs: DataFrame, labels: DataFrame, into: str = "score", sample: int = SAMPLE) -> DataFrame:
     """``docs`` scored by a model fitted on labelled documents outside the held-out quarter."""
     rows = training_rows(docs, labels, sample)
     model = fit([r["text"] for r in rows], [r["toxic"] for r in rows])
-    return score(docs, model, uuid.uuid4().hex)
+    return score(docs, model, uuid.uuid4().hex, into)
+
+
+def predicted(score_column: str) -> Column:
+    """1 where a score says that the text is toxic."""
+    return (F.col(score_column) >= THRESHOLD).cast("int")
