@@ -182,14 +182,15 @@ def links(distinct: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def groups(prints: DataFrame) -> DataFrame:
-    """Of every fingerprint in ``prints`` (doc_id, fp): ``component_id``, the smallest id reachable."""
+    """Of every fingerprint in ``prints`` (doc_id, fp): ``root``, the same for all that are linked, and
+    ``component_id``, the smallest id reachable."""
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("_first")), "fingerprints")
     roots = components(links(distinct), "a", "b").withColumnRenamed("node", "fp")
     rooted = written(
         distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "roots"
     )
     named = rooted.groupBy("root").agg(F.min("_first").alias("component_id"))
-    return rooted.join(named, "root").select("fp", "component_id")
+    return rooted.join(named, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -209,7 +210,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     prints = marked.select("doc_id", F.col("_fp").alias("fp"), "_row")
     kept = (
         prints.join(groups(prints), "fp")
-        .groupBy("component_id")
+        .groupBy("root")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row")).alias("m"))
         .select(F.col("m._row").alias("_row"))
     )
