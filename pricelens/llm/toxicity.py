@@ -280,6 +280,9 @@ def fit(texts: list[str], toxic: list[int]) -> Model | None:
     keep = values > 1e-3
     root = vectors[:, keep] / np.sqrt(values[keep])
     mapped = sims @ root
+    # Marks with any one character put in between are examples, too ("*" stands for it).
+    inserted = [m[:i] + "*" + m[i:] for m in marks if len(m) > 6 for i in range(2, len(m) - 1)]
+    altered = similarities(inserted, landmarks, norms) @ root
 
     # Multiple-instance rounds. First witnesses: the unit with most evidence, if any has some.
     members = [np.array([index[u] for u in bag], int) for bag in bags]
@@ -291,10 +294,13 @@ def fit(texts: list[str], toxic: list[int]) -> Model | None:
         })
         hardest = {int(m[value[m].argmax()]) for m, label in zip(members, y) if not label and len(m)}
         negatives = sorted((hardest | set(hard)) - set(witnesses))
-        x = mapped[witnesses + negatives]
+        x = np.concatenate((mapped[witnesses + negatives], altered))
         x = np.column_stack([x, np.full(len(x), 0.5)])
-        labels = np.array([1.0] * len(witnesses) + [-1.0] * len(negatives))
-        cost = np.full(len(labels), COST)
+        labels = np.array([1.0] * len(witnesses) + [-1.0] * len(negatives) + [1.0] * len(altered))
+        # Look-alikes are many; a marked unit must not be given up for them.
+        marked = COST * max(1.0, 3 * len(negatives) / len(witnesses))
+        cost = np.where(labels > 0, marked, COST)
+        cost[len(witnesses) + len(negatives):] = marked * len(marks) / max(1, len(altered))
         weights = _svm(x, labels, cost)
         value = mapped @ weights[:-1] + 0.5 * weights[-1]
     best = np.array([value[m].max() if len(m) else weights[-1] / 2 for m in members])
