@@ -2,28 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import at_most, materialize, spread_scan
+from ..sources.tables import materialize, spread_scan
 
 CATEGORIES = ["type_of_product", "subindustry", "channel"]
 # Fixed values.
 UNKNOWN = "Desconocido"
 TREES, MIN_LEAF, SEED = 100, 2, 42
-# A tree of depth d has at most 2**d leaves, so depth bounds the model's size.
-MAX_DEPTH = 10
-# Leaf values held by every task: 5 million doubles are 40 MB.
-LEAF_LIMIT = 5_000_000
+# Trees grow to the smallest leaf; 30 is the engine's own limit.
+MAX_DEPTH = 30
+# Node statistics a pass over the rows may hold: more nodes a pass, fewer passes.
+AGGREGATION_MB = 1024
 
 
 def fit_forest(
@@ -49,17 +44,17 @@ def fit_forest(
         OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
         VectorAssembler(
             inputCols=[size, *encoded, "approved_quote_price"], outputCol="features",
-            handleInvalid="skip",
+            handleInvalid="error",
         ),
         RandomForestRegressor(
-            labelCol=label, featuresCol="features", predictionCol="unit_price", leafCol="leaves",
+            labelCol=label, featuresCol="features", predictionCol="unit_price",
             numTrees=trees, minInstancesPerNode=MIN_LEAF, seed=SEED, featureSubsetStrategy="all",
-            maxDepth=max_depth, maxBins=max_bins,
+            maxDepth=max_depth, maxBins=max_bins, maxMemoryInMB=AGGREGATION_MB, cacheNodeIds=False,
         ),
     ]
     narrow = train.select(size, label, "approved_quote_price", *CATEGORIES).dropna(
         subset=[size, label]
-    )
+    ).fillna(0.0, subset=["approved_quote_price"])
     # Fitting reads the rows several times, so they are written once. Growing trees is
     # bound by computing, not by bytes: a few small files are spread over all cores.
     rows = materialize(narrow.fillna(UNKNOWN, subset=CATEGORIES), "train")
@@ -74,21 +69,6 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def leaf_table(df: DataFrame, path: str) -> DataFrame:
-    """Leaves of a saved model: tree, leaf number as in ``leaves``, predicted value."""
-    spark = df.sparkSession
-    forest = load_model(path).stages[-1]
-    nodes = spark.read.option("recursiveFileLookup", True).parquet(
-        f"{path}/stages/*_{forest.uid}/data"
-    )
-    leaves = nodes.filter(F.col("nodeData.leftChild") == -1)
-    number = F.row_number().over(Window.partitionBy("treeID").orderBy("nodeData.id")) - 1
-    return leaves.select(
-        F.col("treeID").alias("tree"), number.alias("leaf"),
-        F.col("nodeData.prediction").alias("value"),
-    )
-
-
 def confidence(mean: Column, spread: Column) -> Column:
     """100 for agreeing trees, down to 0 when the spread is half the mean."""
     share = F.lit(1.0) - F.lit(2.0) * F.try_divide(spread, mean)
@@ -97,64 +77,42 @@ def confidence(mean: Column, spread: Column) -> Column:
     )
 
 
-def _spread_in_tasks(scored: DataFrame, leaves: DataFrame) -> DataFrame:
-    """Look the leaf values up inside the tasks that already hold the rows."""
-    local = leaves.toPandas()
-    shape = (int(local["tree"].max()) + 1, int(local["leaf"].max()) + 1)
-    values = np.zeros(shape)
-    values[local["tree"], local["leaf"]] = local["value"]
-    shared = scored.sparkSession.sparkContext.broadcast(values)
-
-    @F.pandas_udf("mean double, spread double")
-    def tree_stats(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        table = shared.value
-        trees = np.arange(table.shape[0])
-        for batch in batches:
-            if len(batch) == 0:
-                yield pd.DataFrame({"mean": [], "spread": []}, dtype="float64")
-                continue
-            picked = table[trees, np.vstack(batch.to_numpy()).astype(np.int64)]
-            yield pd.DataFrame({"mean": picked.mean(axis=1), "spread": picked.std(axis=1)})
-
-    return scored.withColumn("_stats", tree_stats(vector_to_array("leaves"))).withColumns({
-        "tree_mean": F.col("_stats.mean"), "tree_spread": F.col("_stats.spread"),
-    }).drop("_stats")
-
-
-def _spread_by_join(scored: DataFrame, leaves: DataFrame, key: str) -> DataFrame:
-    """The same for a model too large to hold in a task: join rows and leaves."""
-    reached = scored.select(key, F.posexplode(vector_to_array("leaves")).alias("tree", "leaf"))
-    stats = (
-        reached.withColumn("leaf", F.col("leaf").cast("int"))
-        .join(leaves, ["tree", "leaf"])
-        .groupBy(key)
-        .agg(F.avg("value").alias("tree_mean"), F.stddev_pop("value").alias("tree_spread"))
+def with_tree_spread(scored: DataFrame, forest) -> DataFrame:
+    """Mean and spread of the trees' predictions, row by row.
+
+    Every tree is applied to the row where it is, so the rows need no key, none is
+    lost or paired with another, and there is one way for models of every size.
+    """
+    names = [f"_tree_{i}" for i in range(forest.getNumTrees)]
+    for name, tree in zip(names, forest.trees):
+        scored = tree.setPredictionCol(name).transform(scored)
+    values, count = F.array(*names), float(len(names))
+    mean = F.aggregate(values, F.lit(0.0), lambda total, v: total + v) / count
+    scored = scored.withColumns({"_values": values, "tree_mean": mean}).drop(*names)
+    squares = F.aggregate(
+        "_values", F.lit(0.0), lambda total, v: total + (v - F.col("tree_mean")) * (v - F.col("tree_mean"))
     )
-    return scored.join(stats, key)
+    return scored.withColumn("tree_spread", F.sqrt(squares / count)).drop("_values")
 
 
-def predict(
-    products: DataFrame,
-    path: str,
-    size: str,
-    key: str = "product_id",
-    leaf_limit: int = LEAF_LIMIT,
-) -> DataFrame:
+def predict(products: DataFrame, path: str, size: str) -> DataFrame:
     """Unit price and confidence of every product from the model saved at ``path``.
 
-    The size is read from ``size``, a column of ``products`` named as in training.
+    The size is read from ``size``, a column of ``products`` named as in training. A
+    product without size or quote price keeps its row; its price and confidence are NULL.
     """
     model = load_model(path)
-    scored = model.transform(products)
-    leaves = leaf_table(products, path)
-    if at_most(leaves, leaf_limit):
-        spread = _spread_in_tasks(scored, leaves)
-    else:
-        spread = _spread_by_join(scored, leaves, key)
-    return spread.withColumns({
-        "predicted_price_per_unit": F.col("unit_price"),
-        "model_confidence": confidence(F.col("tree_mean"), F.col("tree_spread")),
-    }).select(*products.columns, "predicted_price_per_unit", "model_confidence")
+    numbers = [size, "approved_quote_price"]
+    known = F.col(size).isNotNull() & F.col("approved_quote_price").isNotNull()
+    given = products.select(F.struct("*").alias("_given"), *numbers, *CATEGORIES).withColumn("_known", known)
+    scored = model.transform(given.fillna(0.0, subset=numbers))
+    spread = with_tree_spread(scored, model.stages[-1])
+    sure = confidence(F.col("tree_mean"), F.col("tree_spread"))
+    return spread.select(
+        "_given.*",
+        F.when(F.col("_known"), F.col("unit_price")).alias("predicted_price_per_unit"),
+        F.when(F.col("_known"), sure).alias("model_confidence"),
+    )
 
 
 def holdout_score(
@@ -163,7 +121,8 @@ def holdout_score(
     """Score on a seeded hold-out (Spark forests have no out-of-bag score)."""
     fitted, held = train.randomSplit([1 - share, share], seed=SEED)
     model = fit_forest(fitted, size, label, **options)
-    scored = model.transform(held.dropna(subset=[size, label]).fillna(UNKNOWN, subset=CATEGORIES))
+    known = held.dropna(subset=[size, label]).fillna(UNKNOWN, subset=CATEGORIES)
+    scored = model.transform(known.fillna(0.0, subset=["approved_quote_price"]))
     return RegressionEvaluator(
         labelCol=label, predictionCol="unit_price", metricName=metric
     ).evaluate(scored)

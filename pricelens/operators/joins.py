@@ -5,30 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import at_most
+from ..sources.tables import planned_bytes
 
-# A lookup with at most this many rows is broadcast (some 20 MB of short rows).
-BROADCAST_ROWS = 200_000
-# Beyond it the lookup is repeated this often, so one hot key becomes this many keys.
+# A larger lookup is repeated this often, so one hot key becomes this many keys.
 SALTS = 32
 
 
+def broadcast_limit(df: DataFrame) -> int:
+    """Bytes up to which the session's planner broadcasts a table."""
+    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
     on: list[str],
     how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Join ``df`` with one or few rows per key, whatever share of ``df`` a key has.
 
-    ``lookup`` is counted (it should be a written table); small ones are
-    broadcast, so ``df`` is not shuffled. A larger one is joined on the key and
-    a salt: the rows of a hot key spread over ``SALTS`` tasks, each with its own
+    ``lookup`` should be a written table, whose bytes the planner knows: one within
+    its broadcast limit needs nothing but the join. A larger one is joined on the key
+    and a salt: the rows of a hot key spread over ``SALTS`` tasks, each with its own
     copy of the lookup row. ``how`` is inner, left, left_semi or left_anti.
     """
-    if at_most(lookup, broadcast_rows):
-        return df.join(F.broadcast(lookup), on, how)
+    limit = broadcast_limit(df) if broadcast_bytes is None else broadcast_bytes
+    if planned_bytes(lookup) <= limit:
+        return df.join(lookup, on, how)
     salted = df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
     copies = lookup.withColumn(
         "_salt", F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(SALTS)]))

@@ -115,7 +115,8 @@ def percentile_bounds(
     )
     targets = materialize(_first_targets(rows, key, [lower, upper]), "targets")
     for _ in range(_MAX_ROUNDS):
-        largest = targets.agg(F.max("_n")).first()[0]
+        # A bucket of one value needs no cutting, however often it occurs.
+        largest = targets.filter("_lo < _hi").agg(F.max("_n")).first()[0]
         if largest is None or largest <= sort_limit:
             break
         targets = materialize(_refined(rows, targets, key), "targets")

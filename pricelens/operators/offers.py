@@ -13,6 +13,7 @@ from ..functions.text import strip
 from ..sources.tables import computed, materialize
 from .extract import all_of, first_of, within
 from .joins import lookup_join
+from .searchplan import INSTRUCTION_KEYS
 
 
 def _by_site(rules: dict[str, Column], default: Column | None = None) -> Column:
@@ -261,12 +262,12 @@ def relevant_offers(
 def capped_offers(offers: DataFrame, order: list[str], by: list[str] | None = None) -> DataFrame:
     """First offers in page order, up to the site's limit per search.
 
-    A search is a site, mode and keyword of one instruction (``by``, the
-    columns present of the default). The widest limit is a constant comparison,
+    A search is a site, mode and keyword of one instruction, so two instructions
+    that search alike have a limit each (``by``, the columns present of the default). The widest limit is a constant comparison,
     so Spark keeps that many rows per search in every task before it shuffles.
     """
     if by is None:
-        wanted = ["site", "search_keyword", "search_mode", "type_of_product", "subindustry"]
+        wanted = ["site", "search_keyword", "search_mode", *INSTRUCTION_KEYS]
         by = [c for c in wanted if c in offers.columns]
     widest = max(sites.OFFER_LIMITS.values())
     limit = _by_site({s: F.lit(n) for s, n in sites.OFFER_LIMITS.items()})

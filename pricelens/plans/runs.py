@@ -1,7 +1,9 @@
 """The full and the partial run, from landed tables to published suggestions.
 
-Every stage writes a table under ``base`` and the next one reads it, so a lost
-executor costs a stage at most and a table's size is known when it is joined.
+Every stage writes a table in the run's folder and the next one reads it, so a lost
+executor costs a stage at most and a table's size is known when it is joined. A run
+writes nowhere else until it is published, so one that dies changes nothing, and the
+same run may be repeated.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from ..sources.store import RunState, SuggestionStore
 class Landed:
     """Landed inputs.
 
-    ``pages``: site, search_keyword, search_mode, url, html, position (order of
+    ``catalog`` has a column ``seq``, the order of the export; ``pages``: site, search_keyword, search_mode, url, html, position (order of
     the hit); ``modifiers`` may be missing.
     """
 
@@ -63,6 +65,9 @@ class PriceRun:
         Returns 'full', 'partial', or 'nothing new'.
         """
         mode = mode or incremental.run_mode(self.state.last_full_run(), now)
+        self.run_id = run_id
+        earlier = self.state.current_runs() if mode == "partial" else []
+        self.offer_runs = [*(r for r in earlier if r != run_id), run_id]
         catalog = self._stage(erp.catalog(landed.catalog), "catalog")
         wanted = catalog
         if mode == "partial":
@@ -71,7 +76,7 @@ class PriceRun:
             if wanted.isEmpty():
                 return "nothing new"
 
-        self._collect_offers(wanted, landed, mode, now)
+        self._collect_offers(wanted, landed, now)
         quotes = self._stage(
             erp.quotes(erp.sale_lines(landed.lines, landed.orders, self.settings.quote_year)),
             "quotes",
@@ -82,14 +87,17 @@ class PriceRun:
         report = self._predict(training.predictable_products(wanted, types), quotes)
         records = pricing.upload_records(report)
         tables.write_table(
-            records.filter(F.col("reject_reason").isNotNull()), f"{self.base}/rejected"
+            records.filter(F.col("reject_reason").isNotNull()), self._path("rejected")
         )
         self.store.publish(records.filter(F.col("reject_reason").isNull()), run_id, mode, now)
         self.state.finished(run_id, mode, now)
         return mode
 
+    def _path(self, name: str) -> str:
+        return f"{self.base}/runs/{self.run_id}/{name}"
+
     def _stage(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.base}/{name}"
+        path = self._path(name)
         seen = Observation(name)
         tables.write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path)
         self.row_counts[name] = seen.get["rows"]
@@ -100,26 +108,28 @@ class PriceRun:
         return pricing.loss_count(self.read("report"))
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base}/{name}")
+        """A stage of the last run; ``offers`` are those of all runs since the last full one."""
+        if name == "offers":
+            return tables.read_offers(self.spark, f"{self.base}/offers", self.offer_runs)
+        return self.spark.read.parquet(self._path(name))
 
-    def _collect_offers(self, catalog: DataFrame, landed: Landed, mode: str, now) -> None:
+    def _collect_offers(self, catalog: DataFrame, landed: Landed, now) -> None:
         """Search plan and page offers of the wanted products, added to the offer table.
 
-        A page is parsed once and then joined with all instructions that search for it.
+        A page is parsed once, where it lies; what was found in it is written, and only
+        that is joined with the instructions that search for it.
         """
         instructions = self._stage(
-            searchplan.instruction_list(catalog, landed.modifiers, "product_id"), "instructions"
+            searchplan.instruction_list(catalog, landed.modifiers, "seq"), "instructions"
         )
         plan = self._stage(searchplan.search_plan(instructions), "search_plan")
         search = ["site", "search_keyword", "search_mode"]
-        searched = lookup_join(
-            landed.pages, self._stage(plan.select(*search).distinct(), "searches"), search,
-            "left_semi",
-        )
-        raw = extract.raw_fields(searched, sites.PAGE_FIELDS)
+        parsed = self._stage(extract.raw_fields(landed.pages, sites.PAGE_FIELDS), "parsed_pages")
+        searches = self._stage(plan.select(*search).distinct(), "searches")
+        raw = lookup_join(parsed, searches, search, "left_semi")
         tables.write_table(
             raw.filter(F.col("error").isNotNull()).select(*search, "url", "error"),
-            f"{self.base}/failed_pages",
+            self._path("failed_pages"),
         )
         described = offers.with_quantity(
             offers.page_facts(raw.filter(F.col("error").isNull()))
@@ -130,9 +140,7 @@ class PriceRun:
         planned = lookup_join(accepted, plan, search)
         capped = offers.capped_offers(planned, ["position", "product"])
         rows = offers.assembled_offers(capped, instructions, F.lit(now.date()))
-        tables.write_offers(
-            rows, f"{self.base}/offers", "overwrite" if mode == "full" else "append"
-        )
+        tables.write_offers(rows, f"{self.base}/offers", self.run_id)
 
     def _clean(self, manual: DataFrame) -> tuple[DataFrame, DataFrame]:
         cleaned = self._stage(clean.clean_offers(self.read("offers"), manual), "clean_offers")
@@ -160,7 +168,7 @@ class PriceRun:
                 model = forest.fit_forest(
                     frame, size, label, self.settings.trees, self.settings.max_depth
                 )
-                forest.save_model(model, f"{self.base}/model_{name}")
+                forest.save_model(model, self._path(f"model_{name}"))
 
     def _predict(self, products: DataFrame, quotes: DataFrame) -> DataFrame:
         ready = self._stage(
@@ -179,12 +187,12 @@ class PriceRun:
         })]
         if not by_path["volume"].isEmpty():
             parts.append(
-                forest.predict(by_path["volume"], f"{self.base}/model_volume", "volume_liters")
+                forest.predict(by_path["volume"], self._path("model_volume"), "volume_liters")
             )
         if not by_path["unit"].isEmpty():
             sized = by_path["unit"].withColumn("total_quantity", F.col("pack_quantity_units"))
             parts.append(
-                forest.predict(sized, f"{self.base}/model_units", "total_quantity")
+                forest.predict(sized, self._path("model_units"), "total_quantity")
                 .drop("total_quantity")
             )
         predicted = parts[0]

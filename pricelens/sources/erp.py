@@ -19,12 +19,16 @@ EXCLUDED_TYPES = [
 
 
 def catalog(landed: DataFrame) -> DataFrame:
-    """Active products outside the excluded groups; a product without a link drops out too."""
+    """Active products outside the excluded groups; a product without a link drops out too.
+
+    A column ``seq``, the order of the export, is kept where the landed table has it.
+    """
+    order = ["seq"] if "seq" in landed.columns else []
     names = {c: text.many_to_one_name(F.col(c)) for c in
              ("type_of_product_id", "subindustry_id", "industry_id")}
     return (
         landed.filter(F.col("status") == "active")
-        .select(*schemas.ERP_CATALOG_COLUMNS)
+        .select(*schemas.ERP_CATALOG_COLUMNS, *order)
         .withColumns(names)
         .withColumnsRenamed({
             "type_of_product_id": "type_of_product",

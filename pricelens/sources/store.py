@@ -99,6 +99,16 @@ class RunState:
         self.spark = spark
         self.path = f"{base}/run_state"
 
+    def current_runs(self) -> list[str]:
+        """The last full run and the partial runs after it, in order."""
+        state = _read(self.spark, self.path, _STATE)
+        if state is None:
+            return []
+        last = state.filter(F.col("mode") == "full").agg(F.max("finished_at")).first()[0]
+        kept = state if last is None else state.filter(F.col("finished_at") >= F.lit(last))
+        runs = kept.groupBy("run_id").agg(F.min("finished_at").alias("at")).orderBy("at", "run_id")
+        return [r["run_id"] for r in runs.collect()]  # one row per run since the last full one
+
     def finished(self, run_id: str, mode: str, at: dt.datetime) -> None:
         row = self.spark.createDataFrame([(run_id, mode, at)], _STATE)
         row.coalesce(1).write.mode("append").parquet(self.path)

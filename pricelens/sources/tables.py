@@ -2,28 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 _BOM = "\ufeff"
+# A table up to this size may be dealt out anew to use all cores.
+SPREAD_BYTES = 4 << 30
 
 
-@cache
-def _own_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix="pricelens-")
+_named: dict[str, str] = {}
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: the session's ``spark.checkpoint.dir``.
+def use_folder(spark: SparkSession, path: str) -> None:
+    """Name the folder for this application's tables where ``spark.checkpoint.dir`` is unset."""
+    _named[spark.sparkContext.applicationId] = path
 
-    Only a session without that setting (a local test) gets a folder of its own.
-    """
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder every executor can reach: the session's ``spark.checkpoint.dir``, or the one named."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or _own_folder(spark.sparkContext.applicationId)).rstrip("/")
+    folder = folder or _named.get(spark.sparkContext.applicationId)
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir, or name a folder that all executors share")
+    return folder.rstrip("/")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -98,11 +101,15 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", by: list[str]
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
-def write_offers(df: DataFrame, path: str, mode: str) -> None:
-    """Offer sink, one folder per run date; ``mode`` is 'overwrite' or 'append'."""
-    if mode not in ("overwrite", "append"):
-        raise ValueError(f"unknown mode {mode!r}")
-    write_table(df, path, mode, by=["date"])
+def write_offers(df: DataFrame, path: str, run_id: str) -> None:
+    """Offer sink, one folder per run and date; a repeated run replaces its own offers only."""
+    write_table(df, f"{path}/run_id={run_id}", by=["date"])
+
+
+def read_offers(spark: SparkSession, path: str, run_ids: list[str]) -> DataFrame:
+    """Offers of the given runs."""
+    folders = [f"{path}/run_id={r}" for r in run_ids]
+    return spark.read.option("basePath", path).parquet(*folders).drop("run_id")
 
 
 def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
@@ -117,16 +124,18 @@ def computed(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select(*[f"`{c}`" for c in kept], F.inline(F.array(row)))
 
 
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` has no more than ``rows`` rows; looks at no more than one row beyond."""
-    return not df.select(F.lit(1)).offset(rows).head(1)
+def planned_bytes(df: DataFrame) -> int:
+    """Bytes the planner expects of ``df``: known for a written table, large for a plan it cannot judge."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def spread_scan(scan: DataFrame) -> DataFrame:
     """Deal a table of fewer splits than cores out to all cores.
 
     For work bound by computing. ``scan`` is a table as read: a small one comes
-    in one or two splits, hence tasks; one with splits enough is never shuffled.
+    in one or two splits, hence tasks. A table of more than ``SPREAD_BYTES`` is never
+    shuffled for it, however many cores there are.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+    small = planned_bytes(scan) <= SPREAD_BYTES
+    return scan.repartition(cores) if small and scan.rdd.getNumPartitions() < cores else scan

@@ -69,12 +69,12 @@ def test_market_stats(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("broadcast_rows", [100, 0])
-def test_lookup_join_on_a_hot_key(spark, how, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [1 << 40, 0])
+def test_lookup_join_on_a_hot_key(spark, how, broadcast_bytes):
     rows = [("hot" if i % 3 else f"k{i}", i) for i in range(300)]
     left = spark.createDataFrame(rows, "k string, v int")
     right = spark.createDataFrame([("hot", 1), ("k0", 2), ("k3", 3), ("k3", 4)], "k string, w int")
-    got = joins.lookup_join(left, right, ["k"], how, broadcast_rows=broadcast_rows)
+    got = joins.lookup_join(left, right, ["k"], how, broadcast_bytes=broadcast_bytes)
     want = left.join(right, "k", how)
     assert got.columns == want.columns
     assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))

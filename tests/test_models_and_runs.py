@@ -36,29 +36,32 @@ def products_of(spark):
         "type_of_product string, subindustry string, channel string")
 
 
-def test_leaf_values_rebuild_the_prediction(spark, trained):
+def test_trees_rebuild_the_prediction(spark, trained):
     _, path = trained
-    scored = forest.load_model(path).transform(products_of(spark))
-    leaves = forest.leaf_table(scored, path)
-    for spread in (forest._spread_in_tasks(scored, leaves),
-                   forest._spread_by_join(scored, leaves, "product_id")):
-        rows = spread.select("unit_price", "tree_mean", "tree_spread").collect()
-        assert len(rows) == 6
-        for r in rows:
-            assert r.tree_mean == pytest.approx(r.unit_price, rel=1e-9) and r.tree_spread >= 0
+    model = forest.load_model(path)
+    spread = forest.with_tree_spread(model.transform(products_of(spark)), model.stages[-1])
+    rows = spread.select("unit_price", "tree_mean", "tree_spread").collect()
+    assert len(rows) == 6
+    for r in rows:
+        assert r.tree_mean == pytest.approx(r.unit_price, rel=1e-9) and r.tree_spread >= 0
 
 
-def test_both_ways_to_the_confidence_agree(spark, trained):
+def test_every_product_keeps_its_row(spark, trained):
+    """Repeated and null ids, a missing size, a missing quote price, a clashing column."""
     _, path = trained
-    one, two = (
-        {r.product_id: (r.predicted_price_per_unit, r.model_confidence)
-         for r in forest.predict(products_of(spark), path, "volume_liters", leaf_limit=n).collect()}
-        for n in (10 ** 6, 0)
-    )
-    assert one.keys() == two.keys()
-    for key in one:
-        assert one[key] == pytest.approx(two[key], abs=0.011)
-        assert 0 <= one[key][1] <= 100
+    products = products_of(spark).unionByName(products_of(spark).limit(1)).unionByName(
+        spark.createDataFrame(
+            [(None, 1.0, 0.0, "T0", "Home", "B2C"), (None, 2.0, 0.0, "T3", "Home", "B2C"),
+             ("no size", None, 0.0, "T1", "Home", "B2C"), ("no quote", 1.0, None, "T1", "Home", "B2C")],
+            products_of(spark).schema)).withColumn("features", F.lit("clash"))
+    rows = forest.predict(products, path, "volume_liters").collect()
+    assert sorted(str(r.product_id) for r in rows) == sorted(str(r.product_id) for r in products.collect())
+    for r in rows:
+        priced = r.product_id not in ("no size", "no quote")
+        assert (r.predicted_price_per_unit is not None) == (r.model_confidence is not None) == priced
+        assert not priced or 0 <= r.model_confidence <= 100
+    first, second = (r for r in rows if r.product_id is None)
+    assert first.predicted_price_per_unit != second.predicted_price_per_unit
 
 
 def test_known_types_are_priced_well(spark, trained):
@@ -142,14 +145,14 @@ def landed(spark, new_product=False):
     columns = ", ".join(
         f"{c} " + ("timestamp_ntz" if c == "create_date" else
                    "double" if c.endswith(("cost", "costs", "_sar", "liters", "units")) else "string")
-        for c in ["status", *schemas.ERP_CATALOG_COLUMNS])
+        for c in ["status", *schemas.ERP_CATALOG_COLUMNS]) + ", seq int"
     base = dict.fromkeys(schemas.ERP_CATALOG_COLUMNS)
 
     def product(i, kind, sub, liters=None, pack=None, created=dt.datetime(2025, 1, 1)):
         return ("active", *{**base, "create_date": created, "product_id": f"FP-{i}", "product_name": kind,
                             "type_of_product_id": link(kind), "subindustry_id": link(sub),
                             "industry_id": link("Living"), "generic_product_type": "Cleaner",
-                            "volume_liters": liters, "pack_quantity_units": pack, "unit_cost_sar": 4.0}.values())
+                            "volume_liters": liters, "pack_quantity_units": pack, "unit_cost_sar": 4.0}.values(), -i)
 
     products = [product(1, "H2-Glass cleaner", "Home", 0.75), product(2, "H9-Floor wipes", "Home", None, 40.0),
                 product(3, "H5-Never sold", "Home", 1.0)]
@@ -200,3 +203,32 @@ def test_full_then_partial_run(spark, tmp_path):
     assert run.run(landed(spark, new_product=True), "r4", dt.datetime(2025, 5, 1)) == "full"
     assert ids_of(run.store.history()) == ["FP-1", "FP-2", "FP-4"]
     assert ids_of(run.store.current()) == ["FP-1", "FP-2", "FP-4"]
+
+
+def test_a_run_that_dies_may_be_repeated(spark, tmp_path, monkeypatch):
+    run = PriceRun(spark, str(tmp_path), Settings(quote_year=2025, trees=3, max_depth=3))
+    run.run(landed(spark), "r1", dt.datetime(2025, 3, 1))
+    before = run.read("offers").count()
+    with monkeypatch.context() as broken:
+        broken.setattr(run, "_train", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            run.run(landed(spark, new_product=True), "r2", dt.datetime(2025, 3, 10))
+    counts = []
+    for _ in range(2):
+        assert run.run(landed(spark, new_product=True), "r2", dt.datetime(2025, 3, 10), "partial") == "partial"
+        counts.append(run.read("offers").count())
+    assert counts == [before + 8, before + 8]
+    assert ids_of(run.store.current()) == ["FP-1", "FP-2", "FP-4"]
+
+
+def test_pages_are_parsed_once_and_never_shuffled(spark, tmp_path, monkeypatch):
+    from pricelens.operators import extract
+
+    seen = []
+    parse = extract.raw_fields
+    monkeypatch.setattr(extract, "raw_fields", lambda pages, *a, **k: seen.append(parse(pages, *a, **k)) or seen[-1])
+    run = PriceRun(spark, str(tmp_path), Settings(quote_year=2025, trees=3, max_depth=3))
+    run.run(landed(spark), "r1", dt.datetime(2025, 3, 1))
+    assert len(seen) == 1
+    assert "Exchange" not in seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert run.row_counts["parsed_pages"] == 25

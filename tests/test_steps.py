@@ -232,6 +232,16 @@ def test_offer_limits(spark):
     assert plan.count("WindowGroupLimit") == 2  # limited per task before the shuffle
 
 
+def test_offer_limits_are_per_instruction(spark):
+    rows = [(i, ind, gen) for i in range(9) for ind in ("I1", "I2") for gen in ("G1", "G2")]
+    frame = spark.createDataFrame(rows, "position int, industry string, generic_product_type string").withColumns({
+        "site": F.lit("fine"), "search_keyword": F.lit("soap"), "search_mode": F.lit("volume"),
+        "type_of_product": F.lit("T"), "subindustry": F.lit("S"), "product": F.lit("p"),
+    })
+    counts = offers.capped_offers(frame, ["position"]).groupBy("industry", "generic_product_type").count().collect()
+    assert [r["count"] for r in counts] == [5] * 4
+
+
 def test_exchanged_files_keep_their_headers(spark, tmp_path):
     catalog = spark.createDataFrame(
         [("FP-1", "H1-Soap", "Home", 1.5, dt.datetime(2025, 1, 2, 3, 4, 5))],

@@ -568,10 +568,10 @@ checked AS (
 ORACLE["offer_validity"] = f"""WITH {SEARCHES}
 SELECT site, reject_reason, count(*) AS offers FROM checked GROUP BY 1, 2"""
 ORACLE["offer_cap"] = f"""WITH {SEARCHES}, ranked AS (
- SELECT *, row_number() OVER (PARTITION BY site, search_keyword
+ SELECT *, row_number() OVER (PARTITION BY industry, site, search_keyword
   ORDER BY position, l_partkey, l_extendedprice) AS rank
- FROM checked WHERE reject_reason IS NULL)
-SELECT site, search_keyword, position, product, price_sar, total_quantity FROM ranked
+ FROM checked, (VALUES ('Living'), ('Working')) AS instruction(industry) WHERE reject_reason IS NULL)
+SELECT industry, site, search_keyword, position, product, price_sar, total_quantity FROM ranked
 WHERE rank <= CASE site WHEN 'amazon' THEN 40 WHEN 'mumzworld' THEN 7 WHEN 'saco' THEN 8
  WHEN 'fine' THEN 5 WHEN 'gogreen' THEN 5 WHEN 'officesupply' THEN 8 ELSE 1000000000 END"""
 

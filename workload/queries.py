@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +23,23 @@ QUERIES = {}
 
 
 def query(function):
-    QUERIES[function.__name__] = function
+    """Register a query; a session that names no shared folder gets one for this machine."""
+
+    @functools.wraps(function)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        if spark.conf.get("spark.checkpoint.dir", None) is None:
+            tables.use_folder(spark, _own_folder(spark.sparkContext.applicationId))
+        return function(spark, folder)
+
+    QUERIES[function.__name__] = run
     return function
 
 
+@functools.cache
+def _own_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="pricelens-")
+
+
 # Market statistics -----------------------------------------------------------
 
 
@@ -533,10 +548,15 @@ def offer_validity(spark, folder):
 
 @query
 def offer_cap(spark, folder):
-    valid = offers.valid_offers(b.site_searches(spark, folder))
+    """Limits per instruction: each offer is found for two industries of one product type."""
+    valid = offers.valid_offers(b.site_searches(spark, folder)).withColumns({
+        "type_of_product": F.lit("T"), "subindustry": F.lit("Home"),
+        "generic_product_type": F.lit("Cleaner"),
+        "industry": F.explode(F.array(F.lit("Living"), F.lit("Working"))),
+    })
     order = ["position", "l_partkey", "l_extendedprice"]
     return offers.capped_offers(valid, order).select(
-        "site", "search_keyword", "position", "product", "price_sar", "total_quantity"
+        "industry", "site", "search_keyword", "position", "product", "price_sar", "total_quantity"
     )
 
 
