@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.tables import materialize, spread_scan
+from ..sources.tables import computed, materialize, spread_scan
 
 CATEGORIES = ["type_of_product", "subindustry", "channel"]
 # Fixed values.
@@ -77,6 +78,27 @@ def confidence(mean: Column, spread: Column) -> Column:
     )
 
 
+def tree_stats(values: Column) -> tuple[Column, Column]:
+    """Mean and population standard deviation of an array of the trees' predictions."""
+    count = F.size(values).cast("double")
+    mean = F.aggregate(values, F.lit(0.0), lambda total, v: total + v) / count
+    return mean, F.sqrt(
+        F.aggregate(F.transform(values, lambda v: (v - mean) * (v - mean)), F.lit(0.0),
+                    lambda total, v: total + v) / count
+    )
+
+
+def flags(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """The category flags the forest sees, one string of 0 and 1 per category column."""
+    for stage in model.stages[:2]:
+        rows = stage.transform(rows)
+    return rows.withColumns({
+        f"{c}_flags": F.array_join(
+            F.transform(vector_to_array(f"{c}_flags"), lambda x: x.cast("int").cast("string")), "")
+        for c in CATEGORIES
+    })
+
+
 def with_tree_spread(scored: DataFrame, forest) -> DataFrame:
     """Mean and spread of the trees' predictions, row by row.
 
@@ -86,13 +108,9 @@ def with_tree_spread(scored: DataFrame, forest) -> DataFrame:
     names = [f"_tree_{i}" for i in range(forest.getNumTrees)]
     for name, tree in zip(names, forest.trees):
         scored = tree.setPredictionCol(name).transform(scored)
-    values, count = F.array(*names), float(len(names))
-    mean = F.aggregate(values, F.lit(0.0), lambda total, v: total + v) / count
-    scored = scored.withColumns({"_values": values, "tree_mean": mean}).drop(*names)
-    squares = F.aggregate(
-        "_values", F.lit(0.0), lambda total, v: total + (v - F.col("tree_mean")) * (v - F.col("tree_mean"))
-    )
-    return scored.withColumn("tree_spread", F.sqrt(squares / count)).drop("_values")
+    gathered = computed(scored, {"_values": F.array(*names)}).drop(*names)
+    mean, spread = tree_stats(F.col("_values"))
+    return gathered.withColumns({"tree_mean": mean, "tree_spread": spread}).drop("_values")
 
 
 def predict(products: DataFrame, path: str, size: str) -> DataFrame:

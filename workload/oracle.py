@@ -613,3 +613,28 @@ SELECT p_partkey, round(share, 4) AS coverage, share >= 0.6e0 AND NOT (
  OR {missing('q', 't', "'hardwood', 'marble', 'tile', 'granite', 'leather', 'carpet'")}
  OR {missing('q', 't', "'wax', 'polish', 'waterless'")}
  OR ({overlap('q', CARS)} AND NOT {overlap('t', CARS)})) AS relevant FROM scored"""
+
+# Models ----------------------------------------------------------------------
+
+ORACLE["forest_rows"] = f"""WITH {CATALOG}
+SELECT seq,
+ CASE WHEN seq % 19 = 0 THEN 'FP-0' WHEN seq % 23 <> 0 THEN product_id END AS product_id,
+ volume_liters IS NOT NULL AND seq % 13 <> 0 AND seq % 17 <> 0 AS priced,
+ CASE WHEN priced THEN true END AS in_range, CASE WHEN priced THEN true END AS sure_in_range
+FROM catalog"""
+ORACLE["tree_confidence"] = """WITH trees AS (
+ SELECT l_orderkey, avg(l_quantity) AS mean, stddev_pop(l_quantity) AS spread FROM lineitem GROUP BY 1)
+SELECT l_orderkey, round(mean, 6) AS tree_mean, round(spread, 6) AS tree_spread,
+ CASE WHEN mean = 0 THEN 0 ELSE round(greatest(0, 1 - 2 * spread / mean) * 100, 2) END AS confidence
+FROM trees"""
+ORACLE["encoded_features"] = f"""WITH {CATALOG}, known AS (
+ SELECT *, {CHANNEL} AS channel FROM catalog WHERE seq % 3 = 0 AND subindustry <> 'Pets'
+ AND pack_quantity_units IS NOT NULL),
+subs AS (SELECT DISTINCT subindustry FROM known), channels AS (SELECT DISTINCT channel FROM known)
+SELECT seq, CASE WHEN seq % 5 <> 0 AND type_of_product IN (SELECT type_of_product FROM known)
+  THEN 1 ELSE 0 END AS types_flagged,
+ (SELECT string_agg(CASE WHEN s.subindustry = c.subindustry THEN '1' ELSE '0' END, '' ORDER BY s.subindustry DESC)
+  FROM subs s) AS subindustry_flags,
+ (SELECT string_agg(CASE WHEN h.channel = c.own THEN '1' ELSE '0' END, '' ORDER BY h.channel DESC)
+  FROM channels h) AS channel_flags
+FROM (SELECT *, {CHANNEL} AS own FROM catalog) c"""

@@ -278,6 +278,61 @@ def forest_confidence(spark, folder):
     )
 
 
+@query
+def forest_rows(spark, folder):
+    """Every product with a size keeps its row: repeated, null ids and missing numbers included.
+
+    Of the prices it tells whether they lie within the labels' range of training.
+    """
+    train = tables.materialize(training_volume(spark, folder), "labels")
+    path = _forest(spark, folder, train, "volume_liters", "price_per_liter")
+    key = F.col("seq")
+    products = _products(spark, folder).withColumns({
+        "volume_liters": F.when(key % 13 != 0, F.col("volume_liters")),
+        "approved_quote_price": F.when(key % 17 != 0, F.col("approved_quote_price")),
+        "product_id": F.when(key % 19 == 0, F.lit("FP-0")).when(key % 23 != 0, F.col("product_id")),
+    })
+    labels = train.agg(F.min("price_per_liter").alias("_least"), F.max("price_per_liter").alias("_most"))
+    predicted = forest.predict(products, path, "volume_liters").join(F.broadcast(labels))  # one row
+    price, sure = F.col("predicted_price_per_unit"), F.col("model_confidence")
+    return predicted.select(
+        "seq", "product_id", price.isNotNull().alias("priced"),
+        F.when(price.isNotNull(), price.between(F.col("_least") - 1e-6, F.col("_most") + 1e-6)).alias("in_range"),
+        F.when(sure.isNotNull(), sure.between(0, 100)).alias("sure_in_range"),
+    )
+
+
+@query
+def encoded_features(spark, folder):
+    """How the models see products: one flag per type known from training, none for others."""
+    known = _products(spark, folder).filter((F.col("seq") % 3 == 0) & (F.col("subindustry") != "Pets"))
+    train = known.select(
+        F.col("pack_quantity_units").alias("total_quantity"), (F.col("seq") % 7 + 1.0).alias("price_per_item"),
+        "approved_quote_price", *forest.CATEGORIES,
+    )
+    fitted = forest.fit_forest(train, "total_quantity", "price_per_item", trees=2, max_depth=2)
+    path = f"{tables.shared_folder(spark)}/forest-{uuid.uuid4().hex}"
+    forest.save_model(fitted, path)
+    products = _products(spark, folder).withColumn(
+        "type_of_product", F.when(F.col("seq") % 5 != 0, F.col("type_of_product")))
+    return forest.flags(forest.load_model(path), products).select(
+        "seq", F.length(F.replace("type_of_product_flags", F.lit("0"))).alias("types_flagged"),
+        "subindustry_flags", "channel_flags",
+    )
+
+
+@query
+def tree_confidence(spark, folder):
+    """Mean, spread and confidence of given tree values: the prices of an order's lines."""
+    values = b.table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
+        F.sort_array(F.collect_list("l_quantity")).alias("trees"))  # seven lines an order at most
+    mean, spread = forest.tree_stats(F.col("trees"))
+    return values.select(
+        "l_orderkey", F.round(mean, 6).alias("tree_mean"), F.round(spread, 6).alias("tree_spread"),
+        forest.confidence(mean, spread).alias("confidence"),
+    )
+
+
 # Price report ----------------------------------------------------------------
 
 
