@@ -241,9 +241,9 @@ def training_units(spark, folder):
     return training.unit_training(trimmed, _own(spark, folder))
 
 
-def _forest(spark, folder, train, size, label):
+def _forest(spark, folder, train, size, label, **options):
     path = f"{tables.shared_folder(spark)}/forest-{uuid.uuid4().hex}"
-    forest.save_model(forest.fit_forest(train, size, label), path)
+    forest.save_model(forest.fit_forest(train, size, label, **options), path)
     return path
 
 
@@ -285,7 +285,8 @@ def forest_rows(spark, folder):
     Of the prices it tells whether they lie within the labels' range of training.
     """
     train = tables.materialize(training_volume(spark, folder), "labels")
-    path = _forest(spark, folder, train, "volume_liters", "price_per_liter")
+    path = _forest(
+        spark, folder, train, "volume_liters", "price_per_liter", trees=10, max_depth=10)
     key = F.col("seq")
     products = _products(spark, folder).withColumns({
         "volume_liters": F.when(key % 13 != 0, F.col("volume_liters")),
