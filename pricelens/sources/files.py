@@ -11,7 +11,9 @@ QUOTES_CSV = T.StructType([
     T.StructField("Product_ID", T.StringType()),
     T.StructField("Description", T.StringType()),
     T.StructField("approved_quote_price", T.DoubleType()),
+    T.StructField("seq", T.LongType()),
 ])
+QUOTE_NAMES = {"Product_ID": "product_id", "Description": "description"}
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, names: dict) -> DataFrame:
@@ -31,9 +33,14 @@ def read_instructions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_quotes(spark: SparkSession, path: str) -> DataFrame:
-    """Quotes without a sequence column: a file has no order a cluster could rely on."""
-    names = {"Product_ID": "product_id", "Description": "description"}
-    return _read(spark, path, QUOTES_CSV, names)
+    """Quotes with their order in the export, ``seq``: rows of a file have no order of their own."""
+    header = tables.trimmed_headers(spark.read.option("header", True).csv(path))
+    tables.require_columns(header, ["seq"])
+    return _read(spark, path, QUOTES_CSV, QUOTE_NAMES)
+
+
+def write_quotes(df: DataFrame, path: str) -> None:
+    _write(df, path, QUOTE_NAMES, [f.name for f in QUOTES_CSV])
 
 
 def read_offers(spark: SparkSession, path: str) -> DataFrame:

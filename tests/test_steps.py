@@ -265,6 +265,21 @@ def test_exchanged_files_keep_their_headers(spark, tmp_path):
     assert (back.price_sar, back.unit_of_measurement, back.channel) == ("5.0", "mL", "Unknown")
 
 
+def test_quotes_keep_their_order_through_a_file(spark, tmp_path):
+    quotes = spark.createDataFrame(
+        [("FP-1", 'a "b", c', 5.5, 2), ("FP-1", None, 4.0, 10), ("FP-2", "d", 1.0, 1)],
+        "product_id string, description string, approved_quote_price double, seq bigint")
+    files.write_quotes(quotes, str(tmp_path / "quotes"))
+    back = files.read_quotes(spark, str(tmp_path / "quotes"))
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[3]) == sorted(
+        map(tuple, quotes.collect()), key=lambda r: r[3])
+    latest = {r.product_id: r.approved_quote_price for r in pricing.latest_quotes(back).collect()}
+    assert latest == {"FP-1": 4.0, "FP-2": 1.0}
+    (tmp_path / "old.csv").write_text("Product_ID,Description,approved_quote_price\nFP-1,a,1\n")
+    with pytest.raises(ValueError, match="seq"):
+        files.read_quotes(spark, str(tmp_path / "old.csv"))
+
+
 def test_modifiers_file_may_be_missing(spark, tmp_path):
     assert files.read_modifiers(spark, str(tmp_path / "none.csv")) is None
     (tmp_path / "odd.csv").write_text("a,b\n1,2\n")
