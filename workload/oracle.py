@@ -638,3 +638,15 @@ SELECT seq, CASE WHEN seq % 5 <> 0 AND type_of_product IN (SELECT type_of_produc
  (SELECT string_agg(CASE WHEN h.channel = c.own THEN '1' ELSE '0' END, '' ORDER BY h.channel DESC)
   FROM channels h) AS channel_flags
 FROM (SELECT *, {CHANNEL} AS own FROM catalog) c"""
+
+# Files and logs --------------------------------------------------------------
+
+ORACLE["csv_round_trip"] = f"""WITH {QUOTES}
+SELECT product_id, CASE WHEN seq % 5 <> 0 THEN 'a "b", ' || description END AS description,
+ approved_quote_price, seq FROM quotes"""
+ORACLE["offer_runs"] = f"""WITH {QUOTES} SELECT DATE '2025-01-02' AS date, product_id, seq FROM quotes"""
+ORACLE["last_full_run"] = """WITH runs AS (
+ SELECT n_nationkey AS key, TIMESTAMP '2025-01-01' + n_nationkey * INTERVAL 1 DAY AS finished_at FROM nation),
+last AS (SELECT max(finished_at) AS finished_at FROM runs WHERE key % 3 = 0)
+SELECT (SELECT finished_at FROM last) AS finished_at, string_agg('r' || key, ',' ORDER BY finished_at) AS runs
+FROM runs WHERE finished_at >= (SELECT finished_at FROM last)"""

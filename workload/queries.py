@@ -15,7 +15,7 @@ from pricelens.functions import price, quantity, relevance, text
 from pricelens.operators import (
     clean, extract, forest, incremental, market, offers, pricing, searchplan, training,
 )
-from pricelens.sources import erp, store, tables
+from pricelens.sources import erp, files, store, tables
 
 from . import bindings as b
 
@@ -191,6 +191,39 @@ def quote_prices(spark, folder):
     return _quotes(spark, folder)
 
 
+@query
+def csv_round_trip(spark, folder):
+    """Quotes written as CSV and read again, commas, quotes, gaps and order included."""
+    path = f"{tables.shared_folder(spark)}/quotes-{uuid.uuid4().hex}"
+    key = F.col("seq")
+    odd = F.when(key % 5 != 0, F.concat(F.lit('a "b", '), "description"))
+    files.write_quotes(_quotes(spark, folder).withColumn("description", odd), path)
+    return files.read_quotes(spark, path)
+
+
+@query
+def offer_runs(spark, folder):
+    """The offer table after two runs, the second of which was repeated."""
+    path = f"{tables.shared_folder(spark)}/offers-{uuid.uuid4().hex}"
+    rows = _quotes(spark, folder).withColumn("date", F.lit("2025-01-02").cast("date"))
+    for run_id, rest in (("r1", 0), ("r2", 1), ("r2", 1)):
+        tables.write_offers(rows.filter(F.col("seq") % 2 == rest), path, run_id)
+    return tables.read_offers(spark, path, ["r1", "r2"]).select("date", "product_id", "seq")
+
+
+@query
+def last_full_run(spark, folder):
+    """Run log of one run per nation, every third a full one: the last full run and the runs since."""
+    base = f"{tables.shared_folder(spark)}/state-{uuid.uuid4().hex}"
+    state = store.RunState(spark, base)
+    nations = b.table(spark, folder, "nation").orderBy("n_nationkey").select("n_nationkey").collect()
+    for (key,) in nations:  # 25 rows, fixed by the schema
+        state.finished(f"r{key}", "full" if key % 3 == 0 else "partial", dt.datetime(2025, 1, 1 + key))
+    runs = state.current_runs()
+    return spark.createDataFrame(
+        [(state.last_full_run(), ",".join(runs))], "finished_at timestamp_ntz, runs string")
+
+
 @query
 def new_products(spark, folder):
     products = b.table(spark, folder, "orders").select(
