@@ -31,10 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SAMPLE = 400
-BUCKETS = 1 << 15
+SAMPLE = 700
+BITS = 14
+BUCKETS = 1 << BITS
 ROUNDS = 60
 COST = 50.0
+BIAS = 0.01
 UNDETERMINED = "und"
 
 #: Language families of common languages (fixed values, ISO 639-1 codes).
@@ -61,7 +63,7 @@ def _grams(joined: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     b = joined.astype(np.uint32)
     two = b[:-2] | b[1:-1] << 8
     three = two | b[2:] << 16
-    mixed = [(x * np.uint32(m)) >> np.uint32(32 - 15) for x, m in ((two, 2654435761), (three, 2246822519))]
+    mixed = [(x * np.uint32(m)) >> np.uint32(32 - BITS) for x, m in ((two, 2654435761), (three, 2246822519))]
     return mixed[0], mixed[1]
 
 
@@ -96,24 +98,27 @@ def sums(texts: list[str], weights: np.ndarray) -> np.ndarray:
     return out
 
 
-def _svm(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Linear SVM by dual coordinate descent; the last weight is the bias."""
-    x = np.column_stack([x, np.full(len(x), 1e-2, np.float32)])
-    weights, alpha = np.zeros(x.shape[1], np.float32), np.zeros(len(y))
-    square = (x * x).sum(1)
+def _svm(x: np.ndarray, rows: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Linear SVM on some rows of ``x`` by dual coordinate descent; the last weight is the bias."""
+    weights, alpha = np.zeros(x.shape[1] + 1, np.float32), np.zeros(len(y))
+    square = np.array([x[r] @ x[r] for r in rows]) + BIAS**2
     cost = COST / np.where(y > 0, (y > 0).mean(), (y < 0).mean()) / square.mean()
     order = np.random.default_rng(0)
     for _ in range(ROUNDS):
         changed = 0.0
         for i in order.permutation(len(y)):
-            new = min(max(alpha[i] - (y[i] * float(x[i] @ weights) - 1) / square[i], 0.0), cost[i])
+            row = x[rows[i]]
+            margin = y[i] * (float(row @ weights[:-1]) + BIAS * float(weights[-1]))
+            new = min(max(alpha[i] - (margin - 1) / square[i], 0.0), cost[i])
             if abs(new - alpha[i]) > 1e-9:
-                weights += np.float32((new - alpha[i]) * y[i]) * x[i]
+                step = np.float32((new - alpha[i]) * y[i])
+                weights[:-1] += step * row
+                weights[-1] += step * BIAS
                 changed = max(changed, abs(new - alpha[i]) * square[i])
                 alpha[i] = new
         if changed < 1e-3:
             break
-    weights[-1] *= 1e-2
+    weights[-1] *= BIAS
     return weights
 
 
@@ -176,12 +181,12 @@ def fit(texts: list[str], languages: list[str]) -> Model:
         elif len(families) == 2 and columns:
             columns.append(-columns[0])
         else:
-            columns.append(_svm(x, np.where(kin == name, 1.0, -1.0)))
+            columns.append(_svm(x, np.arange(len(x)), np.where(kin == name, 1.0, -1.0)))
     for name in families:
         for a, b in combinations(members[name], 2):
             own = np.flatnonzero((languages == a) | (languages == b))
             pairs.append((a, b))
-            columns.append(_svm(x[own], np.where(languages[own] == a, 1.0, -1.0)))
+            columns.append(_svm(x, own, np.where(languages[own] == a, 1.0, -1.0)))
     weights = np.stack(columns, 1)
     return Model(families, members, pairs, np.asfortranarray(weights[:-1]), weights[-1].astype(float))
 

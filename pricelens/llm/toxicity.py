@@ -268,10 +268,19 @@ def fit(texts: list[str], toxic: list[int]) -> Model | None:
         return None
     landmarks = _spread_out(marks)
     norms = self_kernel(landmarks)
-    vocabulary = sorted({u for bag in bags for u in bag})
-    sims = similarities(vocabulary, landmarks, norms)
-    alike = sims.max(1)
+    # Only units that resemble a landmark are kept; all others are the zero vector, unit 0.
+    vocabulary, near = [""], [np.zeros((1, len(landmarks)))]
+    every = sorted(set().union(*bags))
+    for at in range(0, len(every), 20_000):
+        part = every[at:at + 20_000]
+        sims = similarities(part, landmarks, norms)
+        rows = np.flatnonzero(sims.any(1))
+        vocabulary += [part[i] for i in rows]
+        near.append(sims[rows])
+    sims = np.concatenate(near)
     index = {u: i for i, u in enumerate(vocabulary)}
+    members = [np.array([0, *(index[u] for u in bag if u in index)], int) for bag in bags]
+    alike = sims.max(1)
     clean = [i for i, u in enumerate(vocabulary) if outside[u] and not evidence(u)]
     hard = sorted(clean, key=lambda i: (-alike[i], vocabulary[i]))[:HARD]
     between = similarities(landmarks, landmarks, norms)
@@ -285,25 +294,24 @@ def fit(texts: list[str], toxic: list[int]) -> Model | None:
     altered = similarities(inserted, landmarks, norms) @ root
 
     # Multiple-instance rounds. First witnesses: the unit with most evidence, if any has some.
-    members = [np.array([index[u] for u in bag], int) for bag in bags]
-    value = np.array([evidence(u) if u in set(marks) else 0.0 for u in vocabulary])
+    marked = {index[u] for u in marks if u in index}
+    value = np.array([evidence(u) if i in marked else 0.0 for i, u in enumerate(vocabulary)])
     for _ in range(ROUNDS):
-        witnesses = sorted({index[u] for u in marks} | {
-            int(m[value[m].argmax()]) for m, label in zip(members, y)
-            if label and len(m) and value[m].max() > 0
-        })
-        hardest = {int(m[value[m].argmax()]) for m, label in zip(members, y) if not label and len(m)}
-        negatives = sorted((hardest | set(hard)) - set(witnesses))
+        witnesses = sorted((marked | {
+            int(m[value[m].argmax()]) for m, label in zip(members, y) if label and value[m].max() > 0
+        }) - {0})
+        hardest = {int(m[value[m].argmax()]) for m, label in zip(members, y) if not label}
+        negatives = sorted((hardest | set(hard) | {0}) - set(witnesses))
         x = np.concatenate((mapped[witnesses + negatives], altered))
         x = np.column_stack([x, np.full(len(x), 0.5)])
         labels = np.array([1.0] * len(witnesses) + [-1.0] * len(negatives) + [1.0] * len(altered))
         # Look-alikes are many; a marked unit must not be given up for them.
-        marked = COST * max(1.0, 3 * len(negatives) / len(witnesses))
-        cost = np.where(labels > 0, marked, COST)
-        cost[len(witnesses) + len(negatives):] = marked * len(marks) / max(1, len(altered))
+        weight = COST * max(1.0, 3 * len(negatives) / len(witnesses))
+        cost = np.where(labels > 0, weight, COST)
+        cost[len(witnesses) + len(negatives):] = weight * len(marks) / max(1, len(altered))
         weights = _svm(x, labels, cost)
         value = mapped @ weights[:-1] + 0.5 * weights[-1]
-    best = np.array([value[m].max() if len(m) else weights[-1] / 2 for m in members])
+    best = np.array([value[m].max() for m in members])
     return Model(landmarks, norms, root @ weights[:-1], float(weights[-1] / 2), *_logistic(best, y))
 
 
