@@ -17,7 +17,7 @@ from pricelens.llm.queries import VOCABULARY
 
 
 #: A document whose language is less certain than this is rejected, as is one without letters.
-LEAST_CERTAIN = 0.55
+LEAST_CERTAIN = 0.51
 
 
 def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
