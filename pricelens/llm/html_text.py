@@ -79,6 +79,8 @@ class Lines(HTMLParser):
         self.lines: list[tuple[str, int, tuple[int, ...]]] = []
         self.text: list[str] = []
         self.tags = 0
+        #: Elements left out by name; true for those of comments and adverts.
+        self.named: dict[int, bool] = {}
 
     def _flush(self) -> None:
         if self.text:
@@ -126,7 +128,6 @@ class Lines(HTMLParser):
             self._flush()
         self.open.append((tag, self.elements, left_out))
         self.elements += 1
-        self.named = getattr(self, "named", {})
         if named:
             self.named[self.elements - 1] = any(
                 value and _SPLIT.split(value.lower())[0].startswith(("comment", "repl", "disqus", "ad"))
@@ -135,8 +136,7 @@ class Lines(HTMLParser):
 
     def _around(self):
         """Tags around, and whether they are named as comments or adverts."""
-        named = getattr(self, "named", {})
-        return [(tag, named.get(element, False)) for tag, element, _ in self.open]
+        return [(tag, self.named.get(element, False)) for tag, element, _ in self.open]
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
