@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import struct
 from functools import cache
 
 import ahocorasick
@@ -153,29 +154,35 @@ class Vocabulary:
         """Token ids of one pre-token."""
         text = word.encode("utf-8", "surrogatepass").decode("latin-1")
         found = [i for _, i in self.automaton.iter_long(text)]
-        compatible = self.compatible
-        if all(map(compatible, found, found[1:])):
-            return found
-        return self._backtrack(text)
-
-    def _longest(self, text: str, at: int) -> int:
-        return next(self.automaton.iter_long(text, at))[1] if at < len(text) else -1
-
-    def _backtrack(self, text: str) -> list[int]:
-        length = self.length
-        chosen: list[int] = []
-        dead = bytearray(len(text) + 1)
-        at, token = 0, self._longest(text, 0)
-        while at < len(text):
-            while token >= 0 and (
-                dead[at + length[token]]
-                or chosen and not self.compatible(chosen[-1], token)
-            ):
-                token = self.shorter[token]
+        known, last = self._pairs.get, found[0]
+        for n, token in enumerate(found[1:], 1):
+            fits = known(last << 20 | token)
+            if not (self.compatible(last, token) if fits is None else fits):
+                return self._backtrack(text, found, n)
+            last = token
+        return found
+
+    def _backtrack(self, text: str, found: list[int], fitting: int) -> list[int]:
+        """Go on from the first ``fitting`` longest matches, after which the next one does not fit."""
+        length, shorter, known, longest = self.length, self.shorter, self._pairs.get, self.automaton.iter_long
+        chosen, token, end = found[:fitting], found[fitting], len(text)
+        dead = bytearray(end + 1)
+        at = sum(length[i] for i in chosen)
+        while at < end:
+            last = chosen[-1] if chosen else -1
+            while token >= 0:
+                if not dead[at + length[token]]:
+                    if last < 0:
+                        break
+                    fits = known(last << 20 | token)
+                    if self.compatible(last, token) if fits is None else fits:
+                        break
+                token = shorter[token]
             if token >= 0:
                 chosen.append(token)
                 at += length[token]
-                token = self._longest(text, at)
+                if at < end:
+                    token = next(longest(text, at))[1]
             else:  # nothing fits here after what was chosen: give the place up
                 dead[at] = 1
                 token = chosen.pop()
@@ -196,26 +203,34 @@ def gather(blob: np.ndarray, offsets: np.ndarray, ids: np.ndarray) -> bytes:
 
 
 class _Known(dict):
-    """Ids of words met before, as little-endian 32-bit bytes; emptied when full."""
+    """Ids of words met lately, as little-endian 32-bit bytes.
+
+    When full it becomes the older half and a new one begins; words met again move over.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
         self.vocabulary = vocabulary
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.vocabulary.encode_word(word), "<u4").tobytes()
+        ids = self.older.get(word)
+        if ids is None:
+            found = self.vocabulary.encode_word(word)
+            ids = struct.pack(f"<{len(found)}I", *found)
         if len(word) <= 64:
             if len(self) >= CACHED_WORDS:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
 
 
 class Codec:
-    """Encoder and decoder for one vocabulary file."""
+    """Encoder and decoder for one vocabulary."""
 
-    def __init__(self, path: str):
-        self.vocabulary = Vocabulary(path)
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
         self._known = _Known(self.vocabulary)
 
     def encode(self, text: str | None) -> bytes:
@@ -248,7 +263,7 @@ class Codec:
 @cache
 def codec(path: str) -> Codec:
     """One per Python worker."""
-    return Codec(path)
+    return Codec(Vocabulary(path))
 
 
 def encode_column(path: str):

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import tokens
 from .common import written
 
 NODES = 300
@@ -223,7 +223,7 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches):
-        own = bpe.codec(path)
+        own = tokens.encoder(path)
         for batch in batches:
             rows, out = [], ([], [], [], [])
             for i, text in enumerate(batch.column("text")):
