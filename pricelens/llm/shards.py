@@ -26,12 +26,14 @@ are ignored.
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import tokens
 
 LENGTH = 256
 SHARD_BYTES = 16 << 20
@@ -40,6 +42,12 @@ HEADER = 20
 MASK = (1 << 64) - 1
 
 
+def sliced(batch: pa.RecordBatch, rows: int = 500):
+    """A batch in parts, so that what is made of it stays small."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
 def stride(length: int) -> int:
     return HEADER + 2 * length + 4
 
@@ -89,36 +97,36 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, key: int, length:
         rows += r["last"] + 1
     domain = max(1, rows * most)
     shards = max(1, -(-sum(r["bytes"] for r in files) // shard_bytes))
+    wide = -(-domain // shards)  # indices a shard
 
     def cut(batches):
-        own = bpe.codec(vocabulary)
-        for batch in batches:
-            out = ([], [], [], [])
-            for i, (text, row) in enumerate(zip(batch.column("text"), batch.column("row"))):
+        own = tokens.encoder(vocabulary)
+        for batch in (part for whole in batches for part in sliced(whole)):
+            pieces, counts = [], []
+            for text in batch.column("text"):
                 ids = np.frombuffer(own.encode(text.as_py()), "<u4").astype("<u2").tobytes()
-                for part in range(-(-len(ids) // (2 * length))):
-                    out[0].append(i)
-                    out[1].append(row.as_py() * most + part)
-                    out[2].append(part)
-                    out[3].append(ids[2 * length * part:2 * length * (part + 1)])
-            at = pa.array(out[0], pa.int64())
-            start = np.array([first[f] for f in batch.column("file").take(at).to_pylist()], np.int64)
-            place = permuted(start * most + np.array(out[1], np.int64), domain, key)
-            shard = [int(p) * shards // domain for p in place]
+                cuts = range(0, len(ids), 2 * length)
+                pieces += [ids[c:c + 2 * length] for c in cuts]
+                counts.append(len(cuts))
+            rows = np.repeat(np.arange(len(counts)), counts)
+            piece = np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
+            start = np.array([first[f] for f in batch.column("file").to_pylist()], np.int64)
+            number = start + batch.column("row").to_numpy()
+            place = permuted(number[rows] * most + piece, domain, key)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(shard, pa.int32()), pa.array(place, pa.int64()),
-                 batch.column("doc_id").cast(pa.int64()).take(at),
-                 pa.array(out[2], pa.int32()), pa.array(out[3], pa.binary())],
+                [pa.array((place // wide).astype(np.int32)), pa.array(place),
+                 batch.column("doc_id").cast(pa.int64()).take(pa.array(rows)),
+                 pa.array(piece.astype(np.int32)), pa.array(pieces, pa.binary())],
                 ["shard", "place", "doc_id", "piece", "tokens"],
             )
 
     def records(batches):
         for batch in batches:
             out = []
-            for doc, piece, tokens in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "piece", "tokens"))):
-                head = np.array([0 if doc is None else doc], "<i8").tobytes() + np.array(
-                    [doc is None, piece, len(tokens) // 2], "<i4").tobytes()
-                out.append((head + tokens).ljust(stride(length) - 1, b"\0"))
+            columns = (batch.column(c).to_pylist() for c in ("doc_id", "piece", "tokens"))
+            for doc, piece, ids in zip(*columns):
+                head = struct.pack("<qiii", doc or 0, doc is None, piece, len(ids) // 2)
+                out.append((head + ids).ljust(stride(length) - 1, b"\0"))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
     sequences = placed.mapInArrow(cut, "shard int, place bigint, doc_id bigint, piece int, tokens binary")
