@@ -105,7 +105,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, id_column: str = "
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow()
     if not sample.num_rows:  # no usable row
         return rows.selectExpr("id AS query_id", "1 AS rank", "id AS vec_id", "0D AS score").limit(0)
-    points = np.array(sample.column("v").to_pylist())
+    points = sample.column("v").combine_chunks().flatten().to_numpy().reshape(sample.num_rows, -1)
     width, half = points.shape[1], max(1, points.shape[1] // 2)
     books = codebook(points[:, :half], CENTROIDS), codebook(points[:, half:], CENTROIDS)
 
@@ -181,7 +181,8 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, id_column: str = "
                 ["query_id", "vec_id", "score"],
             )
 
-    found = asked_blocks.join(index_blocks, "cell").select("q", "c").mapInArrow(
+    # Both sides grow with the table: neither is broadcast.
+    found = asked_blocks.hint("merge").join(index_blocks, "cell").select("q", "c").mapInArrow(
         compared, "query_id bigint, vec_id bigint, score double"
     )
     by_distance = Window.partitionBy("query_id").orderBy("score", "vec_id")
