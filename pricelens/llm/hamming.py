@@ -72,8 +72,8 @@ def nearest_codes(codes: DataFrame, queries: Column, k: int = 10) -> DataFrame:
         ), "segments",
     )
     occurs = np.zeros((SEGMENTS, 1 << BITS), bool)
-    for r in index.select("segment", "value").distinct().collect():  # 4 * 65536 rows at most
-        occurs[r["segment"], r["value"]] = True
+    met = index.select("segment", "value").distinct().toArrow()  # 4 * 65536 rows at most
+    occurs[met.column("segment").to_numpy(), met.column("value").to_numpy()] = True
     packed = np.packbits(occurs, axis=1)
     active = written(rows.filter(queries).select(F.col("code").alias("q")).distinct(), "asked")
     best = None
