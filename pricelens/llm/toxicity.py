@@ -367,50 +367,6 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> l
     return texts.orderBy("doc_id", "toxic").collect()
 
 
-def score(self, texts: list[str | None]) -> list[float]:
-        bags = [units(t) if t else set() for t in texts]
-        new = set()
-        for bag in bags:
-            new |= bag - self.plain
-        new = sorted(u for u in new if u not in self.known)
-        if new:
-            parts = [(u, w) for u in new for w in windows(u)]
-            values = self.model.values([w for _, w in parts])
-            if len(self.plain) > CACHED_UNITS:
-                self.plain = set()
-            if len(self.known) > CACHED_UNITS:
-                self.known = {}
-            best = dict.fromkeys(new, self.model.bias)
-            for (u, _), v in zip(parts, values.tolist()):
-                best[u] = max(best[u], v)
-            fresh = {u: v for u, v in best.items() if v > self.model.bias}
-            self.known.update(fresh)
-            self.plain.update(u for u in new if u not in fresh)
-        out, bias = [], self.model.bias
-        for bag in bags:
-            near = bag - self.plain
-            out.append(self.model.probability(max((self.known.get(u, bias) for u in near), default=bias)))
-        return out
-
-
-_scorers: dict[str, Scorer] = {}
-
-
-def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list:
-    """At most ``sample`` texts of each label, chosen by a hash of the id."""
-    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
-    marked = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out)
-    order = F.xxhash64("doc_id")
-    chosen = None
-    for label in (1, 0):
-        own = marked.filter(F.col("toxic") == label).select("doc_id", "toxic").distinct()
-        own = own.orderBy(order, "doc_id").limit(sample)
-        chosen = own if chosen is None else chosen.unionByName(own)
-    # Two lists of at most ``sample`` ids each.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
-        "doc_id", "text", "toxic").orderBy("doc_id", "toxic", F.xxhash64("text")).limit(4 * sample).collect()
-
-
 def score(docs: DataFrame, model: Model | None, name: str, into: str = "score") -> DataFrame:
     """All rows and columns of ``docs`` with their score as column ``into``; one pass, no shuffle.
 

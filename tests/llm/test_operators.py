@@ -352,6 +352,17 @@ def test_toxicity(spark, rude, awkward, empty):
     assert toxicity.learned(docs, labels.limit(0)).filter("score <> 0").count() == 0
 
 
+def test_training_rows_count_a_repeated_id_once(spark):
+    """Id 0 has more than 4 * ``sample`` rows; the other ids' texts must not be crowded out."""
+    sample = 50
+    rows = [(0, "same text")] * (4 * sample + 10) + [(i, f"text {i}") for i in range(1, 40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, toxic int")
+    want = [(i, i % 2) for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2]
+    got = [(r["doc_id"], r["toxic"]) for r in toxicity.training_rows(docs, labels, sample)]
+    assert got == want and got[0] == (0, 0)
+
+
 # Licences
 
 
