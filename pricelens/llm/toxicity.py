@@ -6,7 +6,10 @@ word. Two units are compared by the string subsequence kernel: all common subseq
 of ``ORDER`` letters, each weighted by ``DECAY`` to the power of the length it spans in
 both, normalised. Gaps and inserted characters lower the value but do not destroy it.
 
-Landmarks are the units that stand out in labelled toxic texts. The Nyström map ``K_mm^(-1/2) k(u, landmarks)`` makes the kernel a vector
+Marks are units that stand out in labelled toxic texts: those with much evidence; a cover,
+each with evidence from texts that none before accounts for, however rare it is beside
+the commonest; and units like these with evidence of their own. Landmarks are the marks and their
+look-alikes that stand out in clean texts. The Nyström map ``K_mm^(-1/2) k(u, landmarks)`` makes the kernel a vector
 product; a linear SVM is trained on it by multiple-instance rounds: a toxic text is
 represented by its most toxic unit, clean texts by their hardest units. A text's score
 is a logistic function, fitted on the training texts, of its largest unit value.
@@ -39,8 +42,8 @@ from pyspark.sql import functions as F
 SAMPLE = 2_000
 ORDER = 3
 DECAY = 0.7
-LANDMARKS = 48
 CLOSE = 0.75
+FAMILY = 0.5
 EVIDENCE = 12.0
 SHARE = 0.05
 HARD = 400
@@ -231,6 +234,36 @@ def _logistic(value: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
+def _evidence(inside: int, outside: int, n1: int, n0: int) -> float:
+    """Signed likelihood ratio of a unit's rates in the two kinds of text."""
+    a, b = (inside + 0.5) / (n1 + 1), (outside + 0.5) / (n0 + 1)
+    return inside * math.log(a / b) if a > b else 0.0
+
+
+def _cover(bags: list[list[str]], likely: list[str], outside: Counter, n1: int, n0: int) -> list[str]:
+    """Units that account for the toxic texts: each has its evidence from texts that none before is in."""
+    holds = {u: set() for u in likely}
+    for i, bag in enumerate(bags):
+        for u in bag:
+            if u in holds:
+                holds[u].add(i)
+    chosen: list[str] = []
+    left = {u: _evidence(len(own), outside[u], n1, n0) for u, own in holds.items()}
+    while left:
+        best = min(left, key=lambda u: (-left[u], u))
+        if left[best] < EVIDENCE:
+            break
+        chosen.append(best)
+        gone = set(holds[best])
+        for u in list(left):
+            if holds[u] & gone:
+                holds[u] -= gone
+                left[u] = _evidence(len(holds[u]), outside[u], n1, n0)
+            if left[u] < EVIDENCE:
+                del left[u]
+    return chosen
+
+
 def _spread_out(marks: list[str]) -> list[str]:
     """Landmarks among the marks, in order, leaving out those close to one chosen before."""
     chosen: list[str] = []
@@ -240,8 +273,6 @@ def _spread_out(marks: list[str]) -> list[str]:
             chosen.append(mark)
             own = self_kernel([mark])
             closest = np.maximum(closest, similarities(marks, [mark], own)[:, 0])
-        if len(chosen) == LANDMARKS:
-            break
     return chosen
 
 
@@ -257,16 +288,21 @@ def fit(texts: list[str], toxic: list[int]) -> Model | None:
     n1, n0 = int(y.sum()), len(y) - int(y.sum())
 
     def evidence(u: str) -> float:
-        """Signed likelihood ratio of a unit's rates in the two kinds of text."""
-        a, b = (inside[u] + 0.5) / (n1 + 1), (outside[u] + 0.5) / (n0 + 1)
-        return inside[u] * math.log(a / b) if a > b else 0.0
-
-    ranked = sorted(inside, key=lambda u: (-evidence(u), u))
-    least = max(EVIDENCE, SHARE * evidence(ranked[0])) if ranked else EVIDENCE
-    marks = [u for u in ranked if evidence(u) >= least]
-    if not marks:
+        return _evidence(inside[u], outside[u], n1, n0)
+
+    likely = sorted((u for u in inside if evidence(u) >= EVIDENCE), key=lambda u: (-evidence(u), u))
+    cover = _cover([bag for bag, label in zip(bags, y) if label], likely, outside, n1, n0)
+    if not cover:
         return None
+    alike = similarities(likely, cover, self_kernel(cover)).max(1)
+    strong = SHARE * evidence(likely[0])
+    marks = [u for u, v in zip(likely, alike) if v >= FAMILY or evidence(u) >= strong or u in cover]
+    # Look-alikes that stand out in clean texts are landmarks, too: else they could not be told from marks.
+    decoys = sorted((u for u in outside if _evidence(outside[u], inside[u], n0, n1) >= EVIDENCE),
+                    key=lambda u: (-_evidence(outside[u], inside[u], n0, n1), u))
+    alike = similarities(decoys, cover, self_kernel(cover)).max(1)
     landmarks = _spread_out(marks)
+    landmarks += [u for u, v in zip(decoys, alike) if v >= FAMILY]
     norms = self_kernel(landmarks)
     # Only units that resemble a landmark are kept; all others are the zero vector, unit 0.
     vocabulary, near = [""], [np.zeros((1, len(landmarks)))]

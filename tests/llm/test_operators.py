@@ -363,6 +363,25 @@ def test_training_rows_count_a_repeated_id_once(spark):
     assert got == want and got[0] == (0, 0)
 
 
+def test_rare_insults_beside_dominant_ones():
+    """Insults of a small language, far rarer than those of a dominant one, are learned as well."""
+    rng = random.Random(11)
+    common = ["the", "an", "re", "ti", "on", "er", "ou", "st", "ha", "ly", "nd", "ing"]
+    other = ["zó", "qu", "ñe", "ja", "vi", "mu", "gó", "llu"]
+    texts, toxic = [], []
+    for i in range(1_500):
+        small = i % 50 == 0
+        words = ["".join(rng.choice(other if small else common) for _ in range(rng.randint(1, 4))) for _ in range(40)]
+        bad = int(i % 3 == 0 or i % 100 == 50)
+        if bad:
+            words[rng.randrange(40)] = "pelmazo" if small else "wretch"
+        texts.append(" ".join(words))
+        toxic.append(bad)
+    scores = toxicity.Scorer(toxicity.fit(texts[:1_200], toxic[:1_200])).score(texts)
+    for score, bad in zip(scores, toxic):
+        assert (score >= toxicity.THRESHOLD) == bool(bad)
+
+
 # Licences
 
 
