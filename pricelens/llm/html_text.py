@@ -6,7 +6,8 @@ article text (menus, page headers and footers, sidebars, notices, adverts, forms
 styles, reader comments) are left out by tag, role, class or id. Of the other lines the
 ratio of letters to tags is smoothed by a Gaussian along the page, and lines above the
 standard deviation cluster as content, the highest line at least. The innermost element
-that holds nearly all their text is the article; its lines are the result, short ones too.
+that holds all of them, or the ``article`` or ``main`` around it, is the article; its lines
+are the result, short ones too.
 
 Extraction is local to a row: one pass, no shuffle. Unclosed and stray tags are taken as
 browsers take them: a new block ends an open paragraph, an end tag closes what it can.
@@ -28,7 +29,6 @@ from pyspark.sql import DataFrame
 
 SIGMA = 1.0
 RADIUS = 2
-COVERED = 0.9
 
 # Names of HTML and customary class names (fixed values).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -81,6 +81,8 @@ class Lines(HTMLParser):
         self.tags = 0
         #: Elements left out by name; true for those of comments and adverts.
         self.named: dict[int, bool] = {}
+        #: Elements that are an article or main part.
+        self.regions: set[int] = set()
 
     def _flush(self) -> None:
         if self.text:
@@ -128,6 +130,8 @@ class Lines(HTMLParser):
             self._flush()
         self.open.append((tag, self.elements, left_out))
         self.elements += 1
+        if tag in ARTICLE:
+            self.regions.add(self.elements - 1)
         if named:
             self.named[self.elements - 1] = any(
                 value and _SPLIT.split(value.lower())[0].startswith(("comment", "repl", "disqus", "ad"))
@@ -170,27 +174,22 @@ def _smoothed(values: np.ndarray) -> np.ndarray:
     return np.convolve(pad, kernel, "valid") / np.convolve(weight, kernel, "valid")
 
 
-def article(lines: list[tuple[str, int, tuple[int, ...]]]) -> list[str]:
-    """The lines of the element that holds nearly all text of the content cluster."""
+def article(lines: list[tuple[str, int, tuple[int, ...]]], regions: set[int] = frozenset()) -> list[str]:
+    """The lines of the innermost element that holds the whole content cluster, or of the region around it."""
     ratios = np.array([len(text) / tags for text, tags, _ in lines])
     smooth = _smoothed(ratios)
     content = smooth >= min(smooth.std(), smooth.max())
-    inside: dict[int, int] = {}
-    depth: dict[int, int] = {}
-    total = 0
-    for (text, _, around), taken in zip(lines, content):
+    shared = None
+    for (_, _, around), taken in zip(lines, content):
         if taken:
-            total += len(text)
-            for level, element in enumerate(around):
-                inside[element] = inside.get(element, 0) + len(text)
-                depth[element] = level
-    # A paragraph alone is not a region: its parent is.
+            shared = around if shared is None else tuple(a for a, b in zip(shared, around) if a == b)
+    # A paragraph alone is not an article: its parent is.
     members: dict[int, int] = {}
     for _, _, around in lines:
         for element in around:
             members[element] = members.get(element, 0) + 1
-    regions = [e for e, n in inside.items() if n >= COVERED * total and (members[e] > 1 or len(lines) == 1)]
-    best = max(regions, key=lambda e: (depth[e], -e))
+    whole = [e for e in shared if members[e] > 1] or shared[:1]
+    best = next((e for e in whole if e in regions), whole[-1])
     return [text for text, _, around in lines if best in around]
 
 
@@ -200,7 +199,7 @@ def main_text(html: str | None) -> str:
     parser = Lines()
     parser.feed(html)
     parser.close()
-    return "\n".join(article(parser.lines)) if parser.lines else ""
+    return "\n".join(article(parser.lines, parser.regions)) if parser.lines else ""
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -530,6 +530,25 @@ def test_main_text(spark):
     assert html_text.extract(pages.limit(0)).count() == 0
 
 
+PARAGRAPHS = "".join(f"<p>Paragraph {i} of the body says a good deal about its matter.</p>" for i in range(40))
+
+
+@pytest.mark.parametrize("page", [
+    f"<article><h1>Head</h1><p>Lead.</p><div class=body>{PARAGRAPHS}</div></article>",
+    f"<article><h1>Head</h1><p>Lead.</p><ul>{PARAGRAPHS.replace('p>', 'li>')}</ul></article>",
+    f"<main><section><h1>Head</h1><p>Lead.</p></section><section>{PARAGRAPHS}</section></main>",
+])
+def test_a_long_inner_part_loses_no_head(page):
+    lines = html_text.main_text(f"<nav><a>Menu</a></nav>{page}<footer>End</footer>").split("\n")
+    assert lines[:2] == ["Head", "Lead."] and len(lines) == 42
+
+
+def test_split_article_keeps_its_short_part():
+    page = (f"<div><div>{PARAGRAPHS}</div><div><p>A second section that is short but is made of words alone.</p>"
+            "<p>And it has one more such line of words that belongs to the article.</p></div></div>")
+    assert len(html_text.main_text(page).split("\n")) == 42
+
+
 # Shards
 
 
