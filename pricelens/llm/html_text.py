@@ -9,10 +9,15 @@ standard deviation cluster as content, the highest line at least. The innermost
 that holds all of them, or the ``article`` or ``main`` around it, is the article; its lines
 are the result, short ones too.
 
+Class and id names count as whole tokens (``NAMES``), or as a compound of a name and parts
+in ``PARTS`` (``cookie-notice``); other compounds (``has-sidebar``, ``no-comments``) say
+something about what is around. Page-header names do not count within ``article`` and
+``main``. Where nothing is left, the names are not used.
+
 Extraction is local to a row: one pass, no shuffle. Unclosed and stray tags are taken as
 browsers take them: a new block ends an open paragraph, an end tag closes what it can.
 
-A null or empty page has the empty text, as has a page without text outside the elements
+A null or empty page has the empty text, as has a page without text outside the tags and roles
 named above. Pages of any length are read whole; repeated rows give repeated results;
 an empty table gives an empty table; further columns are ignored.
 """
@@ -48,6 +53,16 @@ NAMES = frozenset(
     " replies respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar"
     " widget".split()
 )
+#: What a compound of a name may hold besides names: it is then still that kind of element.
+PARTS = frozenset(
+    "area bar block box button buttons container content feed footer form inner links list main message"
+    " nav page panel popup post posts primary secondary section site slot text top bottom left right"
+    " thread title unit wrap wrapper".split()
+)
+#: Compounds that begin so tell of a page's parts, not that the element is one.
+MODIFIERS = frozenset("has no non not with without is hide show free".split())
+#: Names that an article's own head may bear.
+HEADS = frozenset(("header", "masthead", "banner"))
 ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search"
     " toolbar".split()
@@ -61,19 +76,30 @@ SIBLINGS = {
     "th": {"td", "th"}, "option": {"option"},
 }
 
-_SPLIT = re.compile(r"[\s_-]+")
+_SPLIT = re.compile(r"[_-]+")
 
 
 @lru_cache(4096)
-def _named(value: str) -> bool:
-    return any(part in NAMES for part in _SPLIT.split(value.lower()))
+def _named(value: str, heads: bool = True) -> bool:
+    """Whether a class or id names an element to leave out; ``heads``: also as a page header."""
+    for token in value.lower().split():
+        parts = [p for p in _SPLIT.split(token) if p]
+        names = [p for p in parts if p in NAMES]
+        if not names or parts[0] in MODIFIERS or not all(p in NAMES or p in PARTS or p.isdigit() for p in parts):
+            continue
+        if parts[-1] == "content" and len(parts) > 1 and parts[0] in ("main", "page", "post", "site"):
+            continue
+        if heads or not HEADS.issuperset(names):
+            return True
+    return False
 
 
 class Lines(HTMLParser):
     """Lines of a page: text, number of tags, and the elements around, outermost first."""
 
-    def __init__(self):
+    def __init__(self, by_name: bool = True):
         super().__init__(convert_charrefs=True)
+        self.by_name = by_name
         self.open: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, element number, left out
         self.elements = 1
         self.lines: list[tuple[str, int, tuple[int, ...]]] = []
@@ -117,8 +143,9 @@ class Lines(HTMLParser):
         left_out = self.open[-1][2]
         named = False
         if tag not in ("html", "body"):
+            heads = not any(t in ARTICLE for t, _, _ in self.open)
             for key, value in attrs:
-                if value and (key in ("class", "id") and _named(value) or key == "role" and value.lower() in ROLES):
+                if value and (key in ("class", "id") and self.by_name and _named(value, heads) or key == "role" and value.lower() in ROLES):
                     named = True
                 elif key in ("hidden", "aria-hidden") and value in (None, "", "hidden", "true"):
                     named = True
@@ -134,7 +161,7 @@ class Lines(HTMLParser):
             self.regions.add(self.elements - 1)
         if named:
             self.named[self.elements - 1] = any(
-                value and _SPLIT.split(value.lower())[0].startswith(("comment", "repl", "disqus", "ad"))
+                value and _SPLIT.split(value.lower().strip())[0].startswith(("comment", "repl", "disqus", "ad"))
                 for key, value in attrs if key in ("class", "id")
             )
 
@@ -196,10 +223,13 @@ def article(lines: list[tuple[str, int, tuple[int, ...]]], regions: set[int] = f
 def main_text(html: str | None) -> str:
     if not html:
         return ""
-    parser = Lines()
-    parser.feed(html)
-    parser.close()
-    return "\n".join(article(parser.lines, parser.regions)) if parser.lines else ""
+    for by_name in (True, False):
+        parser = Lines(by_name)
+        parser.feed(html)
+        parser.close()
+        if parser.lines:
+            return "\n".join(article(parser.lines, parser.regions))
+    return ""
 
 
 def extract(pages: DataFrame) -> DataFrame:

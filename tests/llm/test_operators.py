@@ -549,6 +549,26 @@ def test_split_article_keeps_its_short_part():
     assert len(html_text.main_text(page).split("\n")) == 42
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-comments", "ad-free", "page-with-menu"])
+def test_modifiers_in_a_class_leave_text(name):
+    page = f"<div class='{name}'><h1>Head</h1>{PARAGRAPHS}</div><div class='sidebar widget'>Other</div>"
+    assert html_text.main_text(page).split("\n")[0] == "Head"
+
+
+@pytest.mark.parametrize("name", ["entry-header", "post-header", "header"])
+def test_headers_within_an_article_stay(name):
+    page = f"<div class=site-header>Site</div><article><div class={name}><h1>Head</h1></div>{PARAGRAPHS}</article>"
+    lines = html_text.main_text(page).split("\n")
+    assert lines[0] == "Head" and len(lines) == 41
+
+
+def test_named_elements_are_used_where_nothing_else_is():
+    assert html_text.main_text("<div class=banner><p>All there is.</p></div>") == "All there is."
+    assert html_text.main_text("<nav>x</nav>") == ""
+    for name in ("ad", "cookie-notice", "comment-list", "sidebar-right", "site-footer"):
+        assert html_text.main_text(f"<div class='{name}'>Out</div><div><p>In it.</p></div>") == "In it."
+
+
 # Shards
 
 
