@@ -1,12 +1,13 @@
 """Licence scan by a positional index of rare words.
 
 Each licence template is a short text; its words and their places are the postings. Words
-are weighted by their inverse document frequency over all documents. A template's
-``KEYS`` heaviest words are its keys: where a file has a key, its place less the key's
-place in the template is where the template would begin. There the template's other
-words are looked up at their relative places; the template is found if the words in
+are weighted by their inverse document frequency over all documents. The heaviest word of
+a template's mandatory phrase is its anchor: where a file has it, its place less the
+anchor's place in the template is where the template would begin. There the template's
+other words are looked up at their relative places; the template is found if the words in
 place carry at least ``COVERED`` of its weight and its mandatory phrase stands complete
-there. Phrases of the base list are found on their own, word by word.
+there. A match has the phrase, so no start is missed; the SQL below starts from the
+``KEYS`` heaviest words of a template only. Phrases of the base list are found on their own, word by word.
 
 Everything is DataFrame expressions. One pass over the texts keeps, of each row, the
 number of words and the places of the few words that templates and phrases contain; a
@@ -101,12 +102,18 @@ def _starts(hits: Column, phrase: str) -> Column:
     return F.transform(found, lambda h: h["pos"].cast("bigint"))
 
 
+def _anchor(mandatory: str, weight: dict[str, float]) -> str:
+    """The heaviest word of a mandatory phrase: a match has it, so its places give every start."""
+    return min(mandatory.split(), key=lambda w: (-weight[w], w))
+
+
 def _coverage(hits: Column, template: str, mandatory: str, weight: dict[str, float]) -> Column:
-    """Largest share of the template's weight in place, where a key points and the phrase stands."""
+    """Largest share of the template's weight in place, of all places where the phrase stands."""
     words = template.split()
-    keys = sorted(set(words), key=lambda w: (-weight[w], w))[:KEYS]
     total = sum(weight[w] for w in words)
     shift = _offset(words, mandatory.split())
+    anchor = _anchor(mandatory, weight)
+    place = shift + mandatory.split().index(anchor)
 
     def covered(begin):
         there = sum(
@@ -115,12 +122,8 @@ def _coverage(hits: Column, template: str, mandatory: str, weight: dict[str, flo
         )
         return F.when(_stands(hits, begin + shift, mandatory), there / F.lit(total))
 
-    def begins_by(n, key):
-        return F.transform(F.filter(hits, lambda h: h["w"] == key), lambda h: h["pos"] - n)
-
-    begins = [begins_by(n, w) for n, w in enumerate(words) if w in keys]
-    all_begins = F.array_distinct(F.concat(*begins))
-    return F.coalesce(F.array_max(F.transform(all_begins, covered)), F.lit(0.0))
+    begins = F.transform(F.filter(hits, lambda h: h["w"] == anchor), lambda h: h["pos"] - place)
+    return F.coalesce(F.array_max(F.transform(begins, covered)), F.lit(0.0))
 
 
 def _offset(words: list[str], part: list[str]) -> int:
@@ -143,9 +146,9 @@ def scan(docs: DataFrame) -> DataFrame:
     hits = F.col("hits")
     rare = sorted(
         {w for p in PHRASES for w in p.split()[:1]}
-        | {w for _, t, _ in TEMPLATES for w in sorted(set(t.split()), key=lambda w: (-weight[w], w))[:KEYS]}
+        | {_anchor(m, weight) for _, _, m in TEMPLATES}
     )
-    # Rows without any key or first word of a phrase have nothing to look up.
+    # Rows without any anchor or first word of a phrase have nothing to look up.
     likely = F.exists(hits, lambda h: h["w"].isin(rare))
     base = {label: _starts(hits, phrase) for phrase, label in PHRASES.items()}
     none = F.array().cast("array<bigint>")

@@ -424,6 +424,16 @@ def test_licences(spark, awkward, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_a_template_is_found_without_its_heaviest_words(spark):
+    """Both heaviest words of "isc" lie outside its mandatory phrase and are replaced."""
+    text = "permission to use XX YY and or distribute this software for any purpose with or without fee"
+    common = "for any purpose with or without fee use to this and permission software distribute"
+    texts = [text] + [common] * 2 + ["copy modify"] + ["other words"] * 40
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    first = licenses.scan(docs).filter("doc_id = 0").first()
+    assert first.labels == "isc" and licenses.COVERED <= first.score < 1
+
+
 # Binary codes and vectors
 
 
