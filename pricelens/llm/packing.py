@@ -15,6 +15,11 @@ most pieces is spread over many tasks.
 returned, and the bounds say how far it can be from the optimum. The number of pieces
 packed is never bounded.
 
+Fillings are bounded, too, so not all undominated ones are tried: around a piece the list
+ends after ``4 * FILLINGS`` found or ``64 * FILLINGS`` steps, with 8 second pieces for each
+first; four and more pieces are completed greedily; dominance is tested for up to four
+pieces, and ``FILLINGS`` fillings are kept.
+
 Null texts are empty; an empty document is its end token alone; documents of any length
 are packed whole; repeated rows (also repeated or null ids) are packed each on its own;
 an empty table gives an empty table; further columns are ignored.
