@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, hamming, html_text, langid, licenses, packing, shards, simhash, toxicity
+from . import (
+    ann, bpe, hamming, html_text, langid, lexical, licenses, packing, shards, simhash, toxicity,
+)
 from .common import new_folder, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -122,3 +124,13 @@ def op4_training_order(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), path, public_tokenizers.path(VOCABULARY), key=20_240_229
     )
     return shards.digests(shards.read_shards(spark, path))
+
+
+@query
+def op13_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 best documents of every benchmark item, by its terms."""
+    index = lexical.build(table(spark, folder, "documents"))
+    return lexical.search(index, table(spark, folder, "benchmark"))
+
+
+ORACLE["op13_lexical"] = lexical.oracle_sql()
