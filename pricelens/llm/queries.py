@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    ann, bpe, hamming, html_text, langid, lexical, licenses, packing, shards, simhash, toxicity,
+    ann, bpe, hamming, html_text, langid, lexical, licenses, packing, periodic, shards, simhash,
+    toxicity,
 )
 from .common import new_folder, table
 
@@ -134,3 +135,39 @@ def op13_lexical(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op13_lexical"] = lexical.oracle_sql()
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """doc_id and text; of one id in ten the words from a place on repeat with some period."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    n, g = F.size("_words"), F.expr("_h div 10")
+    rewritten = F.expr(
+        "array_join(transform(_words, (w, i) -> IF(i >= _a, _words[CAST(_a + (i - _a) % _p AS INT)], w)), ' ')"
+    )
+    return (
+        docs.select("doc_id", "text", crc.alias("_h"))
+        .withColumn("_words", F.when(F.col("_h") % 10 == 0, words))
+        .withColumn("_a", F.when(n > 0, g % n))
+        .withColumn("_p", 1 + F.expr("(size(_words) - _a) div (3 + (_h div 10) % 8)"))
+        .select("doc_id", F.when(n > 0, rewritten).otherwise(F.col("text")).alias("text"))
+    )
+
+
+@query
+def op12_periodic(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of repeating words in all documents, and digests of the texts without them."""
+    found = periodic.find_runs(with_periodic_tails(table(spark, folder, "documents")))
+    key = F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    lines = F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"),
+        F.lit("\n")))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return found.withColumn("_best", F.array_max(key)).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("_best.start")).alias("start"),
+        F.col("_best.length").alias("length"), (-F.col("_best.period")).alias("period"),
+        F.expr("(1000L * _best.length) div (-_best.period)").alias("exponent_milli"),
+        digest(F.array_join(lines, "")).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256"),
+        "n_words",
+    )
