@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    ann, bpe, hamming, html_text, langid, lexical, licenses, packing, periodic, shards, simhash,
-    toxicity,
+    ann, bpe, hamming, html_text, langid, lexical, licenses, packing, periodic, quality, shards,
+    simhash, toxicity,
 )
 from .common import new_folder, table
 
@@ -171,3 +171,12 @@ def op12_periodic(spark: SparkSession, folder: str) -> DataFrame:
         digest(F.array_join(lines, "")).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256"),
         "n_words",
     )
+
+
+@query
+def op11_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Word, symbol and repeat counts of all documents, and whether rules and votes keep them."""
+    return quality.judged(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "probability",
+    )
