@@ -1,16 +1,31 @@
-"""Random-forest price models with the spread of their trees."""
+"""Random-forest price models on weighted rows, with the spread and the own score of their trees.
+
+A tree cannot part rows whose features are equal. Sizes and quote prices are cut into bins, and
+rows of equal bins and categories are merged into at most ``SHARES`` weighted rows a combination, so
+what is fitted is bounded by bins and categories however many rows there are, and bootstrap samples
+still vary. The trees are ``FOLDS`` forests fitted beside each other; each leaves out the rows whose
+key hashes to its fold, so every row is scored by trees that never saw it.
+"""
 
 from __future__ import annotations
 
+import functools
+import math
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import computed, materialize, spread_scan
+from ..sources.tables import computed, materialize, shared_folder
 
 CATEGORIES = ["type_of_product", "subindustry", "channel"]
 # Fixed values.
@@ -18,56 +33,177 @@ UNKNOWN = "Desconocido"
 TREES, MIN_LEAF, SEED = 100, 2, 42
 # Trees grow to the smallest leaf; 30 is the engine's own limit.
 MAX_DEPTH = 30
-# Node statistics a pass over the rows may hold: more nodes a pass, fewer passes.
+# A node looks at every cut of every feature, and a full forest has a million nodes.
+MAX_BINS = 64
+# Node statistics a task may hold in a pass over its rows: more nodes a pass, fewer passes.
 AGGREGATION_MB = 1024
+# Parts of the trees, each fitted without one fold of the rows.
+FOLDS = 8
+# Weighted rows that equal training rows are merged into at most, so that a bootstrap can vary them.
+SHARES = 64
+# Merged rows that a task works on: node statistics are held by every task, so few tasks are cheaper.
+TASK_ROWS = 200_000
+_HEX = 8  # digits of a digest that make a number
 
 
-def fit_forest(
-    train: DataFrame,
-    size: str,
-    label: str,
-    trees: int = TREES,
-    max_depth: int = MAX_DEPTH,
-    max_bins: int = 128,
-) -> PipelineModel:
-    """One-hot categories plus size and quote price into a regression forest.
+def _hashed(key: Column, from_digit: int, parts: int) -> Column:
+    """A number below ``parts`` for each key, the same at any time."""
+    digest = F.md5(F.concat_ws("-", F.lit(str(SEED)), key.cast("string")).cast("binary"))
+    return F.pmod(F.conv(F.substring(digest, from_digit, _HEX), 16, 10).cast("bigint"), F.lit(parts))
 
-    Unseen categories encode to all zeros. ``size`` is 'volume_liters' or
-    'total_quantity', ``label`` the matching unit price.
-    """
-    indexed = [f"{c}_index" for c in CATEGORIES]
-    encoded = [f"{c}_flags" for c in CATEGORIES]
+
+def fold_of(key: Column, folds: int = FOLDS) -> Column:
+    """The part of the trees that never sees a row of this key."""
+    return _hashed(key, 1, folds)
+
+
+def _bins(numbers: list[str]) -> list[str]:
+    return [f"{c}_bin" for c in numbers]
+
+
+def _side_by_side(work: Callable, count: int) -> list:
+    """``work(i)`` for every i below ``count``; Spark runs their jobs beside each other."""
+    spark, pool = SparkSession.builder.getOrCreate(), ThreadPool(max(1, count))
+    try:
+        return pool.map(inheritable_thread_target(spark)(work), range(count), chunksize=1)
+    finally:
+        pool.close()
+
+
+@dataclass
+class Forest:
+    """Stages that make features of rows, and parts of trees; a fitted one also knows its training rows."""
+
+    prepare: PipelineModel
+    parts: list[RandomForestRegressionModel]
+    leaves: DataFrame
+    rows: DataFrame | None = None
+
+    @property
+    def stages(self) -> list:
+        return [*self.prepare.stages, self]
+
+    @property
+    def trees(self) -> list:
+        return [tree for part in self.parts for tree in part.trees]
+
+    @property
+    def getNumTrees(self) -> int:
+        return sum(part.getNumTrees for part in self.parts)
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with ``features`` and ``unit_price``, the mean of the trees."""
+        spread = with_tree_spread(self.prepare.transform(rows), self)
+        return spread.withColumnRenamed("tree_mean", "unit_price").drop("tree_spread")
+
+
+def _prepared(rows: DataFrame, numbers: list[str], max_bins: int) -> PipelineModel:
+    """Category flags, and bins between quantiles of the numbers, learned from ``rows``."""
+    indexed, encoded = [f"{c}_index" for c in CATEGORIES], [f"{c}_flags" for c in CATEGORIES]
+    steps = [i / max_bins for i in range(max_bins)]
+    quantiles = rows.approxQuantile(numbers, steps, 0.25 / max_bins)
+    cuts = [[-math.inf, *sorted(set(own)), math.inf] for own in quantiles]
     stages = [
         StringIndexer(
             inputCols=CATEGORIES, outputCols=indexed, stringOrderType="alphabetDesc",
             handleInvalid="keep",
         ),
         OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
+        Bucketizer(splitsArray=cuts, inputCols=numbers, outputCols=_bins(numbers)),
+        # Bins come out as categories; as plain numbers they keep their order for the trees.
+        SQLTransformer(statement="SELECT *, " + ", ".join(f"{b} + 0 AS {b}_number" for b in _bins(numbers))
+                       + " FROM __THIS__"),
         VectorAssembler(
-            inputCols=[size, *encoded, "approved_quote_price"], outputCol="features",
+            inputCols=[f"{_bins(numbers)[0]}_number", *encoded, f"{_bins(numbers)[1]}_number"], outputCol="features",
             handleInvalid="error",
         ),
-        RandomForestRegressor(
-            labelCol=label, featuresCol="features", predictionCol="unit_price",
-            numTrees=trees, minInstancesPerNode=MIN_LEAF, seed=SEED, featureSubsetStrategy="all",
-            maxDepth=max_depth, maxBins=max_bins, maxMemoryInMB=AGGREGATION_MB, cacheNodeIds=False,
-        ),
     ]
-    narrow = train.select(size, label, "approved_quote_price", *CATEGORIES).dropna(
-        subset=[size, label]
-    ).fillna(0.0, subset=["approved_quote_price"])
-    # Fitting reads the rows several times, so they are written once. Growing trees is
-    # bound by computing, not by bytes: a few small files are spread over all cores.
-    rows = materialize(narrow.fillna(UNKNOWN, subset=CATEGORIES), "train")
-    return Pipeline(stages=stages).fit(spread_scan(rows))
+    return Pipeline(stages=stages).fit(rows)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def fit_forest(
+    train: DataFrame,
+    size: str,
+    label: str,
+    trees: int = TREES,
+    max_depth: int = MAX_DEPTH,
+    max_bins: int = MAX_BINS,
+    key: str | None = None,
+) -> Forest:
+    """One-hot categories plus size and quote price into a regression forest.
+
+    Unseen categories encode to all zeros. ``size`` is 'volume_liters' or
+    'total_quantity', ``label`` the matching unit price. Folds are drawn by the column ``key``;
+    without one, rows are numbered as they are written. Fewer than two trees leave no row out.
+    """
+    numbers = [size, "approved_quote_price"]
+    narrow = train.dropna(subset=[size, label]).fillna(0.0, subset=["approved_quote_price"]).select(
+        (F.monotonically_increasing_id() if key is None else F.col(key)).alias("key"),
+        *[F.col(c).cast("double").alias(c) for c in numbers], F.col(label).cast("double").alias("label"),
+        *[F.coalesce(c, F.lit(UNKNOWN)).alias(c) for c in CATEGORIES],
+    )
+    # Read again for cuts, merging and score, with the same numbers as keys: written once.
+    rows = materialize(narrow, "train")
+    spark, folds = rows.sparkSession, min(FOLDS, trees)
+    prepare = _prepared(rows, numbers, max_bins)
+    value, fold = F.col("label"), fold_of(F.col("key"), folds).alias("fold")
+    merged = materialize(
+        prepare.stages[2].transform(rows)
+        .groupBy(fold, _hashed(F.col("key"), 9, SHARES).alias("share"), *_bins(numbers), *CATEGORIES)
+        .agg(F.count(F.lit(1)).cast("double").alias("weight"), F.sum(value).alias("total"),
+             F.sum(value * value).alias("squares"), *[F.min(c).alias(c) for c in numbers])
+        .drop("share", *_bins(numbers)), "merged",
+    )
+    tasks = max(1, -(-merged.count() // TASK_ROWS))
+    leaves = f"{shared_folder(spark)}/leaves-{uuid.uuid4().hex}"
+    firsts = [i * trees // folds for i in range(folds + 1)]
+
+    def grown(part: int) -> RandomForestRegressionModel:
+        seen = merged.filter(F.col("fold") != part) if folds > 1 else merged
+        mean = (F.col("total") / F.col("weight")).alias("mean")
+        ready = prepare.transform(seen).select("features", "weight", mean, "total", "squares").coalesce(tasks)
+        fitted = RandomForestRegressor(
+            labelCol="mean", weightCol="weight", predictionCol="unit_price", maxDepth=max_depth,
+            numTrees=firsts[part + 1] - firsts[part], minInstancesPerNode=MIN_LEAF, maxBins=max_bins,
+            featureSubsetStrategy="all", maxMemoryInMB=AGGREGATION_MB, cacheNodeIds=True, seed=SEED + part,
+        ).fit(ready)
+        # What a leaf knows beside its price: the merged rows still tell the labels' squares.
+        fallen = _fallen(ready, fitted.trees, firsts[part])
+        fallen.groupBy("tree", "leaf").agg(
+            F.first("price").alias("price"), F.sum("weight").alias("n"), F.sum("total").alias("total"),
+            F.sum("squares").alias("squares"),
+        ).write.parquet(f"{leaves}/part={part}")
+        return fitted
+
+    return Forest(prepare, _side_by_side(grown, folds), spark.read.parquet(leaves).drop("part"), rows)
+
 
+def _fallen(rows: DataFrame, trees: list, first: int = 0) -> DataFrame:
+    """A row for every row and tree: the tree's number, the leaf it falls into and the leaf's price."""
+    for i, tree in enumerate(trees):
+        rows = tree.copy().setLeafCol(f"_leaf_{i}").setPredictionCol(f"_price_{i}").transform(rows)
+    every = F.array(*[
+        F.struct(F.lit(first + i).alias("tree"), F.col(f"_leaf_{i}").alias("leaf"), F.col(f"_price_{i}").alias("price"))
+        for i in range(len(trees))
+    ])
+    kept = [c for c in rows.columns if not c.startswith(("_leaf_", "_price_"))]
+    return rows.select(*kept, F.inline(every))
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+
+def save_model(model: Forest, path: str) -> None:
+    model.prepare.write().overwrite().save(f"{path}/prepare")
+    model.leaves.write.mode("overwrite").parquet(f"{path}/leaves")
+    _side_by_side(lambda i: model.parts[i].write().overwrite().save(f"{path}/parts/{i}"), len(model.parts))
+    # Written last: a model without it is not whole.
+    spark = SparkSession.builder.getOrCreate()
+    spark.range(len(model.parts)).coalesce(1).write.mode("overwrite").parquet(f"{path}/whole")
+
+
+def load_model(path: str) -> Forest:
+    spark = SparkSession.builder.getOrCreate()
+    count = spark.read.parquet(f"{path}/whole").count()
+    parts = _side_by_side(lambda i: RandomForestRegressionModel.load(f"{path}/parts/{i}"), count)
+    return Forest(PipelineModel.load(f"{path}/prepare"), parts, spark.read.parquet(f"{path}/leaves"))
 
 
 def confidence(mean: Column, spread: Column) -> Column:
@@ -88,7 +224,7 @@ def tree_stats(values: Column) -> tuple[Column, Column]:
     )
 
 
-def flags(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def flags(model: Forest, rows: DataFrame) -> DataFrame:
     """The category flags the forest sees, one string of 0 and 1 per category column."""
     for stage in model.stages[:2]:
         rows = stage.transform(rows)
@@ -107,7 +243,7 @@ def with_tree_spread(scored: DataFrame, forest) -> DataFrame:
     """
     names = [f"_tree_{i}" for i in range(forest.getNumTrees)]
     for name, tree in zip(names, forest.trees):
-        scored = tree.setPredictionCol(name).transform(scored)
+        scored = tree.copy().setPredictionCol(name).transform(scored)
     gathered = computed(scored, {"_values": F.array(*names)}).drop(*names)
     mean, spread = tree_stats(F.col("_values"))
     return gathered.withColumns({"tree_mean": mean, "tree_spread": spread}).drop("_values")
@@ -123,20 +259,57 @@ def predict(products: DataFrame, path: str, size: str) -> DataFrame:
     numbers = [size, "approved_quote_price"]
     known = F.col(size).isNotNull() & F.col("approved_quote_price").isNotNull()
     given = products.select(F.struct("*").alias("_given"), *numbers, *CATEGORIES).withColumn("_known", known)
-    scored = model.transform(given.fillna(0.0, subset=numbers))
-    spread = with_tree_spread(scored, model.stages[-1])
+    spread = with_tree_spread(model.prepare.transform(given.fillna(0.0, subset=numbers)), model)
     sure = confidence(F.col("tree_mean"), F.col("tree_spread"))
     return spread.select(
         "_given.*",
-        F.when(F.col("_known"), F.col("unit_price")).alias("predicted_price_per_unit"),
+        F.when(F.col("_known"), F.col("tree_mean")).alias("predicted_price_per_unit"),
         F.when(F.col("_known"), sure).alias("model_confidence"),
     )
 
 
+def with_leaf_stats(rows: DataFrame, model: Forest) -> DataFrame:
+    """``rows`` with mean, spread and ``leaf_spread`` from the table of leaves.
+
+    The means of the leaves a row falls into are its trees' predictions. ``leaf_spread`` is
+    the standard deviation of a label drawn from one of these leaves: spread between the
+    trees and within the leaves, so it tells how far a price may lie from the mean.
+    """
+    numbered = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "to-price")
+    fallen = _fallen(model.prepare.transform(numbered).select("_row", "features"), model.trees)
+    around = (F.col("squares") - 2 * F.col("price") * F.col("total")) / F.col("n") + F.col("price") * F.col("price")
+    stats = model.leaves.select("tree", "leaf", "price", around.alias("_around"))
+    mean = F.avg("price")
+    spread = fallen.drop("price").join(stats, ["tree", "leaf"]).groupBy("_row").agg(
+        mean.alias("tree_mean"), F.stddev_pop("price").alias("tree_spread"),
+        F.sqrt(F.greatest(F.lit(0.0), F.avg("_around")) + F.var_pop("price")).alias("leaf_spread"),
+    )
+    return numbered.join(spread, "_row", "left").drop("_row")
+
+
+def out_of_bag(model: Forest) -> DataFrame:
+    """key, label, fold and price of every training row, by the trees that never saw it."""
+    ready = model.prepare.transform(model.rows.withColumn("fold", fold_of(F.col("key"), len(model.parts))))
+    scored = [
+        with_tree_spread(ready.filter(F.col("fold") == i), part).select(
+            "key", "label", "fold", F.col("tree_mean").alias("price"))
+        for i, part in enumerate(model.parts)
+    ]
+    return functools.reduce(DataFrame.unionByName, scored)
+
+
+def out_of_bag_score(model: Forest) -> float | None:
+    """Share of the labels' variance that the out-of-bag prices explain; None for equal labels."""
+    scored = out_of_bag(model)
+    missed = F.col("label") - F.col("price")
+    r = scored.agg(F.avg(missed * missed).alias("error"), F.var_pop("label").alias("variance")).first()
+    return 1 - r["error"] / r["variance"] if r["variance"] else None
+
+
 def holdout_score(
     train: DataFrame, size: str, label: str, share: float = 0.2, metric: str = "r2", **options
 ) -> float:
-    """Score on a seeded hold-out (Spark forests have no out-of-bag score)."""
+    """Score on a seeded hold-out."""
     fitted, held = train.randomSplit([1 - share, share], seed=SEED)
     model = fit_forest(fitted, size, label, **options)
     known = held.dropna(subset=[size, label]).fillna(UNKNOWN, subset=CATEGORIES)

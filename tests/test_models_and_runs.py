@@ -232,3 +232,54 @@ def test_pages_are_parsed_once_and_never_shuffled(spark, tmp_path, monkeypatch):
     assert len(seen) == 1
     assert "Exchange" not in seen[0]._jdf.queryExecution().executedPlan().toString()
     assert run.row_counts["parsed_pages"] == 25
+
+
+def test_own_score_is_near_a_hold_out(trained, spark):
+    """Rows are scored by parts that never saw them; the score is that of a hold-out."""
+    train, _ = trained
+    model = forest.fit_forest(train, "volume_liters", "price_per_liter", trees=16)
+    scored = forest.out_of_bag(model).collect()
+    assert len(scored) == train.count() and {r.fold for r in scored} == set(range(forest.FOLDS))
+    held = forest.holdout_score(train, "volume_liters", "price_per_liter", trees=16)
+    assert forest.out_of_bag_score(model) == pytest.approx(held, abs=0.03)
+
+
+def test_left_out_rows_do_not_change_their_part(spark):
+    """A part's trees are the same whatever the labels of the rows it leaves out."""
+    rows = [(i, float(i % 7 + 1), float(i % 7) * 3 + i % 3, 0.0, f"T{i % 3}", "Home", "B2C") for i in range(400)]
+    schema = "id bigint, " + TRAIN.replace("price_per_liter double, approved", "price_per_liter double, approved")
+    plain = spark.createDataFrame(rows, schema)
+    fold = forest.fold_of(F.col("id"))
+    changed = plain.withColumn("price_per_liter", F.when(fold == 0, 1e6).otherwise(F.col("price_per_liter")))
+    prices = []
+    for frame in (plain, changed):
+        model = forest.fit_forest(frame, "volume_liters", "price_per_liter", trees=8, key="id")
+        own = forest.out_of_bag(model).filter("fold = 0").select("key", "price").collect()
+        prices.append({r.key: round(r.price, 9) for r in own})
+    assert prices[0] == prices[1] and len(prices[0]) > 20
+
+
+def test_leaf_table_equals_the_trees(spark, trained):
+    """Mean and spread from the leaves' table are the trees' own; the leaf spread covers both."""
+    _, path = trained
+    model = forest.load_model(path)
+    products = products_of(spark)
+    by_leaf = {r.product_id: r for r in forest.with_leaf_stats(products, model).collect()}
+    by_tree = forest.with_tree_spread(model.prepare.transform(products), model).collect()
+    assert len(by_tree) == len(by_leaf) == 6
+    for r in by_tree:
+        own = by_leaf[r.product_id]
+        assert own.tree_mean == pytest.approx(r.tree_mean, rel=1e-9)
+        assert own.tree_spread == pytest.approx(r.tree_spread, abs=1e-6)
+        assert own.leaf_spread >= own.tree_spread
+
+
+def test_equal_rows_are_merged(spark):
+    """However many rows are equal, few weighted ones are fitted, and the price is their mean."""
+    rows = spark.range(20_000).selectExpr(
+        "CAST(id % 2 + 1 AS DOUBLE) AS volume_liters", "CAST(id % 2 * 10 + id % 5 AS DOUBLE) AS price_per_liter",
+        "0.0D AS approved_quote_price", "'T' AS type_of_product", "'H' AS subindustry", "'B' AS channel")
+    model = forest.fit_forest(rows, "volume_liters", "price_per_liter", trees=8)
+    priced = {r.volume_liters: r.unit_price for r in model.transform(rows.dropDuplicates(["volume_liters"])).collect()}
+    assert priced[1.0] == pytest.approx(2.0, abs=0.2) and priced[2.0] == pytest.approx(12.0, abs=0.2)
+    assert model.leaves.agg(F.sum("n")).first()[0] == pytest.approx(20_000 * 7, rel=0.02)

@@ -650,3 +650,6 @@ ORACLE["last_full_run"] = """WITH runs AS (
 last AS (SELECT max(finished_at) AS finished_at FROM runs WHERE key % 3 = 0)
 SELECT (SELECT finished_at FROM last) AS finished_at, string_agg('r' || key, ',' ORDER BY finished_at) AS runs
 FROM runs WHERE finished_at >= (SELECT finished_at FROM last)"""
+ORACLE["forest_folds"] = """SELECT
+ CAST(('0x' || substr(md5('42-' || l_orderkey || '/' || l_linenumber), 1, 8))::BIGINT % 8 AS BIGINT) AS fold,
+ count(*) AS rows_left_out FROM lineitem GROUP BY 1"""

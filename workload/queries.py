@@ -336,6 +336,27 @@ def forest_rows(spark, folder):
     )
 
 
+@query
+def forest_folds(spark, folder):
+    """How many training rows each part of the trees leaves out: the folds of all quotes by key."""
+    lines = b.table(spark, folder, "lineitem").select(
+        F.concat_ws("/", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("key"))
+    return lines.groupBy(forest.fold_of(F.col("key")).alias("fold")).agg(F.count(F.lit(1)).alias("rows_left_out"))
+
+
+@query
+def forest_score(spark, folder):
+    """The unit forest's score by trees that never saw a row, beside every fold's number of rows."""
+    train = training_units(spark, folder)
+    model = forest.fit_forest(train, "total_quantity", "price_per_item")
+    scored = tables.materialize(forest.out_of_bag(model), "out-of-bag")
+    missed = F.col("label") - F.col("price")
+    return scored.groupBy("fold").agg(
+        F.count(F.lit(1)).alias("rows_scored"), F.sqrt(F.avg(missed * missed)).alias("error"),
+        (1 - F.avg(missed * missed) / F.var_pop("label")).alias("r2"),
+    )
+
+
 @query
 def encoded_features(spark, folder):
     """How the models see products: one flag per type known from training, none for others."""
