@@ -64,7 +64,7 @@ def nearest_codes(codes: DataFrame, queries: Column, k: int = 10) -> DataFrame:
     )
     index = written(
         ids.select(
-            "code", "ids",
+            "code",
             F.inline(F.array(*[
                 F.struct(F.lit(s).alias("segment"), _segment(F.col("code"), s).alias("value"))
                 for s in range(SEGMENTS)
@@ -75,6 +75,14 @@ def nearest_codes(codes: DataFrame, queries: Column, k: int = 10) -> DataFrame:
     met = index.select("segment", "value").distinct().toArrow()  # 4 * 65536 rows at most
     occurs[met.column("segment").to_numpy(), met.column("value").to_numpy()] = True
     packed = np.packbits(occurs, axis=1)
+    tasks = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    nearer = Window.partitionBy("q").orderBy("distance")
+
+    def nearest_of(pairs: DataFrame) -> DataFrame:
+        """Codes that can be in an answer: of those farther than the k + 1 nearest ones none can."""
+        ranked = pairs.withColumn("_n", F.rank().over(nearer))
+        return ranked.filter(F.col("_n") <= k + 1).drop("_n")
+
     active = written(rows.filter(queries).select(F.col("code").alias("q")).distinct(), "asked")
     best = None
     for radius in range(BITS + 1):
@@ -99,12 +107,14 @@ def nearest_codes(codes: DataFrame, queries: Column, k: int = 10) -> DataFrame:
         differ = F.col("q").bitwiseXOR(F.col("code"))
         apart = [F.bit_count(_segment(differ, s)) for s in range(SEGMENTS)]
         first = F.array_position(F.array(*apart), F.array_min(F.array(*apart))) - 1
-        met = (
-            active.mapInArrow(probes, "q bigint, segment int, value bigint")
-            .join(index, ["segment", "value"])
+        # The planner takes the probes for as few as the queries: neither side may be broadcast.
+        pairs = (
+            active.repartition(tasks, "q").mapInArrow(probes, "q bigint, segment int, value bigint")
+            .hint("merge").join(index.hint("merge"), ["segment", "value"])
             .filter((F.array_min(F.array(*apart)) == radius) & (first == F.col("segment")))
-            .select("q", F.bit_count(differ).alias("distance"), F.explode("ids").alias("id"))
+            .select("q", "code", F.bit_count(differ).alias("distance"))
         )
+        met = nearest_of(pairs).join(ids, "code").select("q", "distance", F.explode("ids").alias("id"))
         if best is not None:
             met = met.unionByName(best.join(active, "q", "left_semi"))
         order = Window.partitionBy("q").orderBy("distance", "id")

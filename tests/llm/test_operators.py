@@ -629,3 +629,30 @@ def test_components_of_long_paths(spark):
     got = {r.node: r.root for r in components.components(frame, "x", "y").collect()}
     assert got == {**{i: 0 for i in range(201)}, 300: 300, 400: 300, 500: 300}
     assert components.components(frame.limit(0), "x", "y").count() == 0
+
+
+def test_probes_and_index_are_not_broadcast(spark, monkeypatch):
+    """Plans of the steps that meet probes and index: no side of that join is broadcast."""
+    plans, whole = [], hamming.written
+
+    def recording(df, name):
+        if name == "met":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return whole(df, name)
+
+    monkeypatch.setattr(hamming, "written", recording)
+    rng = random.Random(6)
+    codes = spark.createDataFrame([(i, rng.getrandbits(63)) for i in range(400)], "id bigint, code bigint")
+    assert hamming.nearest_codes(codes, F.col("id") % 20 == 0).count() == 200
+    assert plans
+    for plan in plans:
+        assert "SortMergeJoin [segment" in plan
+        joined = next(line for line in plan.splitlines() if "SortMergeJoin [segment" in line)
+        assert "Broadcast" not in joined
+
+
+def test_codes_of_repeated_ids(spark):
+    """An id with several codes counts once for each; a query never finds its own id."""
+    rows = [(0, 0), (1, 1), (1, 3), (2, 0), (2, 0), (40, 1)]
+    got = hamming.nearest_codes(spark.createDataFrame(rows, "id bigint, code bigint"), F.col("id") == 0, 3)
+    assert [(r.vec_id, r.distance) for r in got.orderBy("rank").collect()] == [(2, 0), (1, 1), (40, 1)]
