@@ -656,3 +656,29 @@ def test_codes_of_repeated_ids(spark):
     rows = [(0, 0), (1, 1), (1, 3), (2, 0), (2, 0), (40, 1)]
     got = hamming.nearest_codes(spark.createDataFrame(rows, "id bigint, code bigint"), F.col("id") == 0, 3)
     assert [(r.vec_id, r.distance) for r in got.orderBy("rank").collect()] == [(2, 0), (1, 1), (40, 1)]
+
+
+def test_folded_values_equal_the_kernel():
+    """A unit's value is the weighted sum of its normalised kernels with all landmarks, computed letter by letter."""
+    rng = random.Random(9)
+    word = lambda n: "^" + "".join(rng.choice("abcdé") for _ in range(n)) + "$"
+    landmarks, weights = [word(n) for n in (2, 5, 7, 9, 18)], np.array([1.0, -0.5, 2.0, 0.3, 1.1])
+    words = [word(rng.randint(1, 18)) for _ in range(60)] + ["^xyz$", "^w-x$", "ab"]
+    norms = toxicity.self_kernel(landmarks)
+
+    def plain(a, b):
+        spans = [{}, {}]
+        for own, w in zip(spans, (a, b)):
+            for i, j, k in ((i, j, k) for k in range(len(w)) for j in range(k) for i in range(j)):
+                key = w[i] + w[j] + w[k]
+                own[key] = own.get(key, 0) + toxicity.DECAY ** (k - i + 1)
+        return sum(v * spans[1].get(t, 0) for t, v in spans[0].items())
+
+    letters = toxicity.Letters(landmarks)
+    model = toxicity.Model(letters, letters.folded(landmarks, weights / np.sqrt(norms)), -0.25, 1.0, 0.0)
+    for w, value in zip(words, model.values(words)):
+        own = plain(w, w)
+        want = sum(c * plain(w, m) / np.sqrt(plain(m, m) * own) for c, m in zip(weights, landmarks)) if own else 0
+        assert value == pytest.approx(max(0, want) - 0.25, abs=1e-9)
+    sims = toxicity.similarities(words[:20], landmarks, norms)
+    assert sims[3, 2] == pytest.approx(plain(words[3], landmarks[2]) / np.sqrt(plain(words[3], words[3]) * norms[2]))
