@@ -7,18 +7,21 @@ styles, reader comments) are left out by tag, role, class or id. Of the other li
 ratio of letters to tags is smoothed by a Gaussian along the page, and lines above the
 standard deviation cluster as content, the highest line at least. The innermost element
 that holds all of them, or the ``article`` or ``main`` around it, is the article; its lines
-are the result, short ones too.
+are the result, short ones too. Where no ``article`` or ``main`` says where it begins and ends,
+lines at either end of it are left out that are a copyright line, or no heading, half of links
+and below the threshold by their own ratio (menus without a name), unless there is nothing else.
 
-Class and id names count as whole tokens (``NAMES``), or as a compound of a name and parts
-in ``PARTS`` (``cookie-notice``); other compounds (``has-sidebar``, ``no-comments``) say
-something about what is around. Page-header names do not count within ``article`` and
-``main``. Where nothing is left, the names are not used.
+A class or id token names its element by its last part that is no size, number or part of a
+page (``PARTS``): ``user-comments``, ``ad-300x250``, ``leftSidebar`` and ``comments-section``
+are what ``NAMES`` lists, ``social-science`` is not. Tokens with a part in ``MODIFIERS``
+(``has-sidebar``, ``page-with-menu``) say something about what is around, those that begin with
+one in ``SUBJECTS`` (``category-advertising``) what the text is about. Page-header names do not
+count within ``article`` and ``main``.
 
 Extraction is local to a row: one pass, no shuffle. Unclosed and stray tags are taken as
 browsers take them: a new block ends an open paragraph, an end tag closes what it can.
 
-A null or empty page has the empty text, as has a page without text outside the tags and roles
-named above. Pages of any length are read whole; repeated rows give repeated results;
+A null or empty page has the empty text, as has a page with nothing but what is named above. Pages of any length are read whole; repeated rows give repeated results;
 an empty table gives an empty table; further columns are ignored.
 """
 
@@ -43,7 +46,7 @@ BLOCKS = frozenset(
     " nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 LEFT_OUT = frozenset(
-    "aside button canvas datalist dialog fieldset footer form head iframe label math menu nav noscript"
+    "aside button canvas datalist dialog fieldset footer form head iframe math menu nav noscript"
     " object option script select style svg template textarea title".split()
 )
 NAMES = frozenset(
@@ -53,14 +56,20 @@ NAMES = frozenset(
     " replies respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar"
     " widget".split()
 )
-#: What a compound of a name may hold besides names: it is then still that kind of element.
+#: What may follow a name in a compound: it is then still that kind of element.
 PARTS = frozenset(
-    "area bar block box button buttons container content feed footer form inner links list main message"
-    " nav page panel popup post posts primary secondary section site slot text top bottom left right"
+    "area bar block box button buttons container content feed form inner item items link links list main"
+    " message page panel post posts primary secondary section site slot text top bottom left right"
     " thread title unit wrap wrapper".split()
 )
-#: Compounds that begin so tell of a page's parts, not that the element is one.
+#: Compounds with one of these tell of a page's parts, not that the element is one.
 MODIFIERS = frozenset("has no non not with without is hide show free".split())
+#: Compounds that begin so tell what the text is about.
+SUBJECTS = frozenset("category tag topic format type status".split())
+#: Names of comments and adverts: an article within them is none.
+FOREIGN = frozenset(
+    "ad ads advert adverts advertisement advertising comment comments commentlist disqus replies".split()
+)
 #: Names that an article's own head may bear.
 HEADS = frozenset(("header", "masthead", "banner"))
 ROLES = frozenset(
@@ -76,35 +85,42 @@ SIBLINGS = {
     "th": {"td", "th"}, "option": {"option"},
 }
 
-_SPLIT = re.compile(r"[_-]+")
+TEXT, LINKS, COPYRIGHT = range(3)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
+_PARTS = re.compile(r"[a-z]+|\d+x\d+|\d+")
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z][a-z])")
+_COPYRIGHT = re.compile(r"©|(\(c\)|copyright)\s*(©|\(c\)|\d{4})", re.IGNORECASE)
 
 
 @lru_cache(4096)
-def _named(value: str, heads: bool = True) -> bool:
-    """Whether a class or id names an element to leave out; ``heads``: also as a page header."""
-    for token in value.lower().split():
-        parts = [p for p in _SPLIT.split(token) if p]
-        names = [p for p in parts if p in NAMES]
-        if not names or parts[0] in MODIFIERS or not all(p in NAMES or p in PARTS or p.isdigit() for p in parts):
-            continue
-        if parts[-1] == "content" and len(parts) > 1 and parts[0] in ("main", "page", "post", "site"):
+def _names(value: str) -> frozenset[str]:
+    """The names in ``NAMES`` that a class or id gives its element."""
+    found = set()
+    for token in value.split():
+        parts = _PARTS.findall(_HUMP.sub("-", token).lower())
+        if not parts or parts[0] in SUBJECTS or not MODIFIERS.isdisjoint(parts):
             continue
-        if heads or not HEADS.issuperset(names):
-            return True
-    return False
+        while len(parts) > 1 and (parts[-1] in PARTS or parts[-1][0].isdigit()):
+            parts.pop()
+        if parts[-1] in NAMES:
+            found.add(parts[-1])
+    return frozenset(found)
 
 
 class Lines(HTMLParser):
     """Lines of a page: text, number of tags, and the elements around, outermost first."""
 
-    def __init__(self, by_name: bool = True):
+    def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.by_name = by_name
         self.open: list[tuple[str, int, bool]] = [("", 0, False)]  # tag, element number, left out
         self.elements = 1
         self.lines: list[tuple[str, int, tuple[int, ...]]] = []
+        #: What each line would be at an end of the text.
+        self.edges: list[int] = []
         self.text: list[str] = []
         self.tags = 0
+        self.linked = 0
         #: Elements left out by name; true for those of comments and adverts.
         self.named: dict[int, bool] = {}
         #: Elements that are an article or main part.
@@ -115,8 +131,14 @@ class Lines(HTMLParser):
             text = " ".join("".join(self.text).split())
             if text and not self.open[-1][2]:
                 self.lines.append((text, self.tags + 1, tuple(e for _, e, _ in self.open)))
+                letters = sum(len("".join(part.split())) for part in self.text)
+                head = any(tag in HEADINGS for tag, _, _ in self.open)
+                self.edges.append(
+                    COPYRIGHT if _COPYRIGHT.match(text) else LINKS if 2 * self.linked >= letters and not head else TEXT
+                )
             self.text = []
         self.tags = 0
+        self.linked = 0
 
     def _pop_to(self, index: int) -> None:
         if any(tag in BLOCKS for tag, _, _ in self.open[index:]) or any(
@@ -141,11 +163,14 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         left_out = self.open[-1][2]
-        named = False
+        named = foreign = False
         if tag not in ("html", "body"):
             heads = not any(t in ARTICLE for t, _, _ in self.open)
             for key, value in attrs:
-                if value and (key in ("class", "id") and self.by_name and _named(value, heads) or key == "role" and value.lower() in ROLES):
+                if value and key in ("class", "id") and (names := _names(value)):
+                    named = named or heads or not HEADS.issuperset(names)
+                    foreign = foreign or not FOREIGN.isdisjoint(names)
+                elif value and key == "role" and value.lower() in ROLES:
                     named = True
                 elif key in ("hidden", "aria-hidden") and value in (None, "", "hidden", "true"):
                     named = True
@@ -160,10 +185,7 @@ class Lines(HTMLParser):
         if tag in ARTICLE:
             self.regions.add(self.elements - 1)
         if named:
-            self.named[self.elements - 1] = any(
-                value and _SPLIT.split(value.lower().strip())[0].startswith(("comment", "repl", "disqus", "ad"))
-                for key, value in attrs if key in ("class", "id")
-            )
+            self.named[self.elements - 1] = foreign
 
     def _around(self):
         """Tags around, and whether they are named as comments or adverts."""
@@ -186,6 +208,8 @@ class Lines(HTMLParser):
 
     def handle_data(self, data):
         self.text.append(data)
+        if any(tag == "a" for tag, _, _ in self.open):
+            self.linked += len("".join(data.split()))
 
     def close(self):
         super().close()
@@ -201,13 +225,18 @@ def _smoothed(values: np.ndarray) -> np.ndarray:
     return np.convolve(pad, kernel, "valid") / np.convolve(weight, kernel, "valid")
 
 
-def article(lines: list[tuple[str, int, tuple[int, ...]]], regions: set[int] = frozenset()) -> list[str]:
-    """The lines of the innermost element that holds the whole content cluster, or of the region around it."""
+def article(
+    lines: list[tuple[str, int, tuple[int, ...]]], regions: set[int] = frozenset(), edges: list[int] = ()
+) -> list[str]:
+    """The lines of the innermost element that holds the whole content cluster, or of the region around it.
+
+    ``edges`` tells what each line would be at an end of the text.
+    """
     ratios = np.array([len(text) / tags for text, tags, _ in lines])
     smooth = _smoothed(ratios)
-    content = smooth >= min(smooth.std(), smooth.max())
+    threshold = min(smooth.std(), smooth.max())
     shared = None
-    for (_, _, around), taken in zip(lines, content):
+    for (_, _, around), taken in zip(lines, smooth >= threshold):
         if taken:
             shared = around if shared is None else tuple(a for a, b in zip(shared, around) if a == b)
     # A paragraph alone is not an article: its parent is.
@@ -216,20 +245,25 @@ def article(lines: list[tuple[str, int, tuple[int, ...]]], regions: set[int] = f
         for element in around:
             members[element] = members.get(element, 0) + 1
     whole = [e for e in shared if members[e] > 1] or shared[:1]
-    best = next((e for e in whole if e in regions), whole[-1])
-    return [text for text, _, around in lines if best in around]
+    region = next((e for e in whole if e in regions), None)
+    best = whole[-1] if region is None else region
+    inside = [i for i, (_, _, around) in enumerate(lines) if best in around]
+    if region is None and edges:
+        kept = [i for i in inside if edges[i] == TEXT or edges[i] == LINKS and ratios[i] >= threshold]
+        if kept:
+            inside = [i for i in inside if kept[0] <= i <= kept[-1]]
+    return [lines[i][0] for i in inside]
 
 
 def main_text(html: str | None) -> str:
     if not html:
         return ""
-    for by_name in (True, False):
-        parser = Lines(by_name)
-        parser.feed(html)
-        parser.close()
-        if parser.lines:
-            return "\n".join(article(parser.lines, parser.regions))
-    return ""
+    parser = Lines()
+    parser.feed(html)
+    parser.close()
+    if not parser.lines:
+        return ""
+    return "\n".join(article(parser.lines, parser.regions, parser.edges))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -572,11 +573,88 @@ def test_headers_within_an_article_stay(name):
     assert lines[0] == "Head" and len(lines) == 41
 
 
-def test_named_elements_are_used_where_nothing_else_is():
-    assert html_text.main_text("<div class=banner><p>All there is.</p></div>") == "All there is."
+@pytest.mark.parametrize("name", ["banner", "cookie-notice", "user-comments", "google-ad"])
+def test_a_page_of_nothing_but_named_elements_is_empty(name):
+    assert html_text.main_text(f"<div class={name}><p>All there is.</p></div>") == ""
     assert html_text.main_text("<nav>x</nav>") == ""
-    for name in ("ad", "cookie-notice", "comment-list", "sidebar-right", "site-footer"):
-        assert html_text.main_text(f"<div class='{name}'>Out</div><div><p>In it.</p></div>") == "In it."
+
+
+@pytest.mark.parametrize("name", [
+    "ad", "cookie-notice", "comment-list", "sidebar-right", "site-footer", "user-comments", "google-ad", "ad-300x250",
+    "left-col-sidebar", "comments-section", "leftSidebar", "ad_slot_2", "comment-17", "box newsletter-signup",
+])
+def test_compounds_name_their_element(name):
+    out = f"<div class='{name}'><p>A reader or a firm says this at some length.</p></div>"
+    inner = f"<div id='{name}'><article>Another remark, in an element of its own.</article></div>"
+    page = f"<article>{out}<h1>Head</h1>{PARAGRAPHS}{out}</article>"
+    lines = html_text.main_text(page).split("\n")
+    assert lines[0] == "Head" and len(lines) == 41
+    assert html_text.main_text(f"<div class='{name}'>Out</div><div><p>In it.</p></div>") == "In it."
+    if "comment" in name or "ad" in re.split("[-_]", name):
+        assert html_text.main_text(f"<div><h1>Head</h1>{PARAGRAPHS}</div>{inner}").split("\n") == lines
+
+
+@pytest.mark.parametrize("name", [
+    "social-science", "category-advertising", "tag-cookies", "article-without-comments", "menu-planning", "lead",
+])
+def test_other_compounds_leave_text(name):
+    page = f"<div class='{name}'><h1>Head</h1>{PARAGRAPHS}</div>"
+    assert len(html_text.main_text(page).split("\n")) == 41
+
+
+def test_a_label_is_text():
+    assert html_text.main_text("<article><p>Hello <label>inline</label> world</p></article>") == "Hello inline world"
+
+
+def test_ends_without_a_name():
+    menu = "<div><a href=/>Home</a> <a href=/a>About us</a> <a href=/c>Contact</a></div>"
+    foot = "<div>&copy; 2024 A firm. All rights reserved.</div>"
+    linked = "<h2><a href=/t>A linked head</a></h2>"
+    inside = "<p><a href=/r>The report</a></p>"
+    body = f"{linked}{PARAGRAPHS}{inside}{PARAGRAPHS}"
+    lines = html_text.main_text(f"<body>{menu}{body}{foot}</body>").split("\n")
+    assert lines[0] == "A linked head" and len(lines) == 82 and lines[41] == "The report"
+    assert lines[-1].startswith("Paragraph 39")
+    # An article that says where it begins and ends keeps all.
+    assert len(html_text.main_text(f"<article>{inside}{body}{foot}</article>").split("\n")) == 84
+    # Nothing but links is still the text.
+    assert html_text.main_text(menu) == "Home About us Contact"
+
+
+def slow_article(lines):
+    """Ratio, smoothing, threshold and smallest element, each by its definition."""
+    ratios = [len(text) / tags for text, tags, _ in lines]
+    smooth = []
+    for i in range(len(lines)):
+        near = [j for j in range(len(lines)) if abs(i - j) <= 2]
+        weights = [math.exp(-((i - j) ** 2) / 2) for j in near]
+        smooth.append(sum(w * ratios[j] for w, j in zip(weights, near)) / sum(weights))
+    mean = sum(smooth) / len(smooth)
+    deviation = math.sqrt(sum((s - mean) ** 2 for s in smooth) / len(smooth))
+    content = [i for i, s in enumerate(smooth) if s >= min(deviation, max(smooth))]
+    holders = {}
+    for i, (_, _, around) in enumerate(lines):
+        for depth, element in enumerate(around):
+            holders.setdefault(element, (depth, set()))[1].add(i)
+    fits = [(len(own), -depth, own) for depth, own in holders.values() if own.issuperset(content)]
+    wide = [f for f in fits if f[0] > 1] or fits
+    return [lines[i][0] for i in sorted(min(wide, key=lambda f: f[:2])[2])]
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_article_by_definition(seed):
+    rng = random.Random(seed)
+
+    def block(depth):
+        if depth == 0 or rng.random() < 0.4:
+            words = "word " * rng.choice((1, 2, 8, 40))
+            return f"<p>{words}{'<b>x</b>' * rng.choice((0, 0, 1, 6))}</p>"
+        return "<div>" + "".join(block(depth - 1) for _ in range(rng.randint(1, 5))) + "</div>"
+
+    parser = html_text.Lines()
+    parser.feed("".join(block(3) for _ in range(rng.randint(1, 4))))
+    parser.close()
+    assert html_text.article(parser.lines) == slow_article(parser.lines)
 
 
 # Shards
