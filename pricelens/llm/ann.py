@@ -8,13 +8,13 @@ fitted on a bounded sample (``SAMPLE`` rows by hash); every usable row is indexe
 
 Cells are dealt out in blocks of bounded size, each compared as one matrix with the
 queries that visit the cell, so a common vector or a full cell is many tasks' work. Of
-equal vectors, only the ``k + 1`` smallest ids can be among a query's nearest; the others
-are left out before blocks are built, which changes no answer.
+equal vectors, only the ``k + 1`` rows of smallest ids can be among a query's nearest; the
+others are left out before blocks are built, which changes no answer.
 
 A row takes part if it has an id and its vector is not null, not all zero, of finite
 numbers throughout, and of the length most vectors have. Equal distances rank the smaller
-id first. Rows that repeat an id count as that id's row, so a query never finds its own.
-With fewer than ``k`` other vectors all are returned; an empty table gives an empty
+id first. Every row is a candidate but the query's own row: of rows that repeat an id each is
+found by the others, and each asks where ``queries`` holds. With fewer than ``k`` other vectors all are returned; an empty table gives an empty
 table; further columns are ignored.
 """
 
@@ -38,11 +38,12 @@ ROUNDS = 15
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """Columns ``id`` and ``v`` (doubles) of the rows that take part."""
+    """Columns ``id``, ``v`` (doubles) and ``row`` (a key of its own) of the rows that take part."""
     v = F.col("v")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = vectors.select(
-        F.col(id_column).cast("bigint").alias("id"), F.col(vector_column).cast("array<double>").alias("v")
+        F.col(id_column).cast("bigint").alias("id"), F.col(vector_column).cast("array<double>").alias("v"),
+        F.monotonically_increasing_id().alias("row"),
     ).filter(F.col("id").isNotNull() & v.isNotNull() & ~bad & F.exists(v, lambda x: x != 0))
     common = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     return rows.filter(F.size("v") == (common["n"] if common else 0))
@@ -118,14 +119,13 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, id_column: str = "
             first, second = halves(batch)
             cells = first.argmin(1) * len(books[1]) + second.argmin(1)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cells, pa.int32())], ["id", "v", "cell"]
+                [*batch.columns, pa.array(cells, pa.int32())], ["id", "v", "row", "cell"]
             )
 
     # Of equal vectors, those with the smallest ids.
-    same = Window.partitionBy("v").orderBy("id")
-    kept = rows.groupBy("id").agg(F.min("v").alias("v")).withColumn("_n", F.row_number().over(same)).filter(
-        F.col("_n") <= k + 1).drop("_n")
-    index = written(kept.mapInArrow(with_cell, "id bigint, v array<double>, cell int"), "index")
+    same = Window.partitionBy("v").orderBy("id", "row")
+    kept = rows.withColumn("_n", F.row_number().over(same)).filter(F.col("_n") <= k + 1).drop("_n")
+    index = written(kept.mapInArrow(with_cell, "id bigint, v array<double>, row bigint, cell int"), "index")
     counts = {r["cell"]: r["count"] for r in index.groupBy("cell").count().collect()}  # CENTROIDS^2 at most
     sizes = np.zeros(len(books[0]) * len(books[1]), np.int64)
     for cell, n in counts.items():
@@ -138,54 +138,58 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, id_column: str = "
             cells = [traverse(a, b, sizes, wanted) for a, b in zip(first, second)]
             at = np.repeat(np.arange(len(cells)), [len(c) for c in cells])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(pa.array(at)), batch.column("v").take(pa.array(at)),
+                [*(column.take(pa.array(at)) for column in batch.columns),
                  pa.array([c for own in cells for c in own], pa.int32())],
-                ["id", "v", "cell"],
+                ["id", "v", "row", "cell"],
             )
 
     def blocks(df: DataFrame, parts: Column, name: str) -> DataFrame:
         """Bounded lists of the rows of each cell."""
-        dealt = df.withColumn("_part", F.pmod(F.xxhash64("id"), parts))
-        return dealt.groupBy("cell", "_part").agg(F.collect_list(F.struct("id", "v")).alias(name)).drop("_part")
+        dealt = df.withColumn("_part", F.pmod(F.xxhash64("row"), parts))
+        return dealt.groupBy("cell", "_part").agg(
+            F.collect_list(F.struct("id", "row", "v")).alias(name)).drop("_part")
 
-    asked = written(rows.filter(queries).groupBy("id").agg(F.min("v").alias("v")), "asked")
+    asked = written(rows.filter(queries), "asked")
     # The number of parts of each cell: a list of CENTROIDS^2 rows at most, as a literal.
     part_counts = F.create_map(*[F.lit(x) for c, n in counts.items() for x in (c, n // BLOCK + 1)])
     asked_blocks = blocks(
-        asked.mapInArrow(visits, "id bigint, v array<double>, cell int"),
+        asked.mapInArrow(visits, "id bigint, v array<double>, row bigint, cell int"),
         F.lit(asked.count() // BLOCK + 1), "q",
     )
     index_blocks = blocks(index, part_counts[F.col("cell")], "c")
 
     def compared(batches):
         for batch in batches:
-            out = ([], [], [])
+            out = ([], [], [], [])
             for q, c in zip(batch.column("q"), batch.column("c")):
                 q_ids = q.values.field("id").to_numpy(zero_copy_only=False)
                 c_ids = c.values.field("id").to_numpy(zero_copy_only=False)
+                q_rows = q.values.field("row").to_numpy(zero_copy_only=False)
+                c_rows = c.values.field("row").to_numpy(zero_copy_only=False)
                 q_v = q.values.field("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
                 c_v = c.values.field("v").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-                for one, v in zip(q_ids, q_v):
+                for one, row, v in zip(q_ids, q_rows, q_v):
                     far = np.sqrt(((c_v - v) ** 2).sum(1))
-                    at = np.flatnonzero(c_ids != one)
+                    at = np.flatnonzero(c_rows != row)
                     if len(at) > k:
                         at = at[far[at] <= np.partition(far[at], k - 1)[k - 1]]
                     at = at[np.lexsort((c_ids[at], far[at]))][:k]
                     out[0].append(np.full(len(at), one))
                     out[1].append(c_ids[at])
                     out[2].append(far[at])
+                    out[3].append(np.full(len(at), row))
             arrays = [np.concatenate(x) if x else np.zeros(0) for x in out]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(arrays[0].astype(np.int64)), pa.array(arrays[1].astype(np.int64)),
-                 pa.array(arrays[2].astype(np.float64))],
-                ["query_id", "vec_id", "score"],
+                 pa.array(arrays[2].astype(np.float64)), pa.array(arrays[3].astype(np.int64))],
+                ["query_id", "vec_id", "score", "row"],
             )
 
     # Both sides grow with the table: neither is broadcast.
     found = asked_blocks.hint("merge").join(index_blocks, "cell").select("q", "c").mapInArrow(
-        compared, "query_id bigint, vec_id bigint, score double"
+        compared, "query_id bigint, vec_id bigint, score double, row bigint"
     )
-    by_distance = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    by_distance = Window.partitionBy("row").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(by_distance)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"
     )

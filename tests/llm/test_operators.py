@@ -507,6 +507,32 @@ def test_neighbours(spark):
     assert [i for _, i, _ in got[1_100]] == [7, *range(1_000, 1_009)]
 
 
+def test_recall_where_not_all_cells_are_visited(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    vectors = rng.normal(size=(6_000, 32)).astype(np.float32)  # independent: the hardest to index
+    assert ann.SHARE * len(vectors) > ann.LEAST
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<float>")
+    found = defaultdict(set)
+    for r in ann.nearest(frame, F.col("id") % 100 == 0).collect():
+        found[r.query_id].add(r.vec_id)
+    exact, hits = vectors.astype(np.float64), 0
+    for q in range(0, 6_000, 100):
+        far = ((exact - exact[q]) ** 2).sum(1)
+        far[q] = np.inf
+        hits += len(found[q] & set(np.argsort(far)[:10].tolist()))
+    assert 0.9 * 600 <= hits < 600  # not all: cells were left out
+
+
+def test_neighbours_of_repeated_ids(spark):
+    rows = [(0, [0.0, 1.0]), (0, [0.0, 4.0]), (1, [0.0, 2.0]), (1, [0.0, 2.0]), (2, [3.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = Counter(map(tuple, ann.nearest(frame, F.col("id") % 100 == 0).collect()))
+    assert got == Counter({
+        (0, 1, 1, 1.0): 1, (0, 2, 1, 1.0): 1, (0, 3, 0, 3.0): 1, (0, 4, 2, 3.0): 1,
+        (0, 1, 1, 2.0): 1, (0, 2, 1, 2.0): 1, (0, 4, 2, 18 ** 0.5): 1,
+    } | {(0, 3, 0, 3.0): 2})
+
+
 def test_neighbours_of_few(spark):
     frame = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 3.0])], "vec_id bigint, embedding array<float>")
     assert [tuple(r) for r in ann.nearest(frame, F.col("id") % 100 == 0).collect()] == [(0, 1, 1, 1.0)]
