@@ -27,7 +27,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -192,17 +192,24 @@ def fit(texts: list[str], languages: list[str]) -> Model:
 
 
 def training_rows(docs: DataFrame, sample: int = SAMPLE) -> list:
-    """About ``sample`` rows of every language outside the held-out quarter, by a hash of the id."""
+    """``sample`` rows of every language outside the held-out quarter, or all: those of least hash of the id."""
     crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
     marked = docs.select("doc_id", "lang").filter(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.pmod(crc, F.lit(4)) != 2)
     ).distinct()
     counts = marked.groupBy("lang").count()
-    # A share of each language's ids; the number of languages is small.
-    share = counts.select("lang", (F.lit(float(sample)) / F.col("count")).alias("_share"))
-    point = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1_000_000)) / 1e6
-    chosen = marked.join(F.broadcast(share), "lang").filter(point < F.col("_share")).drop("_share")
-    # About ``sample`` ids for each language.
+    # A share of each language's ids, twice what is wanted; the number of languages is small. Hashes
+    # are even, so the window sorts about that many rows a language however large it is.
+    share = counts.select("lang", (F.lit(2.0 * sample + 100) / F.col("count")).alias("_share"))
+    chosen = (
+        marked.withColumn("_hash", F.xxhash64("doc_id", "lang"))
+        .join(F.broadcast(share), "lang")
+        .filter(F.col("_hash") / 2.0**64 + 0.5 < F.col("_share"))
+        .withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy("_hash", "doc_id")))
+        .filter(F.col("_n") <= sample)
+        .select("doc_id", "lang")
+    )
+    # At most ``sample`` ids for each language.
     rows = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
     return (
         rows.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))

@@ -254,41 +254,49 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
     )
 
 
+def dealt(short: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """``short`` with a ``_group``: about ``GROUP`` rows of one length each, by a hash of ``_row``."""
+    groups = short.sparkSession.createDataFrame(
+        [(s, n // GROUP + 1) for s, n in counts.items()], "length bigint, _groups bigint"
+    )
+    # One row a length: bounded by the capacity, not by the corpus.
+    return short.join(F.broadcast(groups), "length").withColumn(
+        "_group", F.pmod(F.xxhash64("_row"), "_groups")
+    ).drop("_groups")
+
+
 def pack(cut: DataFrame, capacity: int, nodes: int = NODES) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces with a ``length`` up to ``capacity``.
 
-    Which of two equal pieces comes first does not matter; all else is ordered by the
-    pieces' own values, so a repeated run, or a task run again, gives the same places.
+    Pieces get a row number as they are written, which deals the pieces of a length out in
+    groups of even size, repeated pieces too; a task run again gives the same places. Another
+    run may put two pieces of one length in each other's place.
     """
     spark = cut.sparkSession
-    cut = written(cut, "pieces")
+    cut = written(cut.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     full = cut.filter(F.col("length") >= capacity).withColumns({
         "sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("bigint"),
     })
+    full = full.drop("_row")
     short = cut.filter(F.col("length") < capacity)
     counts = {int(r["length"]): r["count"] for r in short.groupBy("length").count().collect()}
     plan = pack_counts(counts, capacity, nodes)
     if not counts:
         return full
-    # Both lists are bounded by the capacity, not by the corpus.
-    groups = spark.createDataFrame(
-        [(s, n // GROUP + 1) for s, n in counts.items()], "length bigint, _groups bigint"
-    )
+    # This list, too, is bounded by the capacity, not by the corpus.
     places = spark.createDataFrame(
         placement_rows(plan),
         "length bigint, _first bigint, _last bigint, _sequence bigint, offset bigint",
     )
     own = ["doc_id", "piece", "start", "ids_crc32"]
-    dealt = short.join(F.broadcast(groups), "length").withColumn(
-        "_group", F.pmod(F.xxhash64(*own), "_groups")
-    ).drop("_groups")
-    before = dealt.groupBy("length", "_group").count().selectExpr(
+    grouped = dealt(short, counts)
+    before = grouped.groupBy("length", "_group").count().selectExpr(
         "length", "_group",
         "sum(count) OVER (PARTITION BY length ORDER BY _group) - count AS _before",
     )
-    ranked = dealt.selectExpr(
+    ranked = grouped.selectExpr(
         "*", "row_number() OVER (PARTITION BY length, _group "
-             "ORDER BY doc_id, piece, start, ids_crc32) - 1 AS _at",
+             "ORDER BY _row) - 1 AS _at",
     ).join(before, ["length", "_group"]).withColumn("_rank", F.expr("_at + _before"))
     packed = ranked.join(
         F.broadcast(places),

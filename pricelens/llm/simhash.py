@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import unused, written
 from .components import components
 
 WORDS = 4
@@ -203,15 +203,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One row of each component stays, that with the smallest id, with all its columns."""
+    fp, row = unused(docs, "_fp"), unused(docs, "_row")
     marked = written(
-        docs.select("*", fingerprints("text").alias("_fp"), F.monotonically_increasing_id().alias("_row")),
+        docs.select("*", fingerprints("text").alias(fp), F.monotonically_increasing_id().alias(row)),
         "marked",
     )
-    prints = marked.select("doc_id", F.col("_fp").alias("fp"), "_row")
+    prints = marked.select("doc_id", F.col(fp).alias("fp"), F.col(row).alias("_row"))
     kept = (
         prints.join(groups(prints), "fp")
         .groupBy("root")
         .agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row")).alias("m"))
-        .select(F.col("m._row").alias("_row"))
+        .select(F.col("m._row").alias(row))
     )
-    return marked.join(kept, "_row", "left_semi").drop("_row", "_fp")
+    return marked.join(kept, row, "left_semi").select(*docs.columns)

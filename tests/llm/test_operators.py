@@ -129,6 +129,12 @@ def test_packing_a_hot_length(spark, tokenizer):
     assert bins <= full + packing.lower_bound(counts, 64) * 1.005
 
 
+def test_repeated_rows_are_dealt_out_evenly(spark):
+    same = spark.range(30_000).selectExpr("IF(id % 2 = 0, 7, id) AS doc_id", "id AS _row", "40L AS length")
+    sizes = [r["count"] for r in packing.dealt(same, {40: 30_000}).groupBy("_group").count().collect()]
+    assert sum(sizes) == 30_000 and max(sizes) < 2 * packing.GROUP
+
+
 def fewest(sizes, capacity):
     """The optimum, by trying everything."""
     best = [len(sizes)]
@@ -248,9 +254,25 @@ def test_one_of_each_keeps_columns(docs, awkward):
     assert 3 in [r.doc_id for r in kept.collect()]
 
 
+def test_one_of_each_of_documents_with_its_own_names(spark):
+    frame = spark.createDataFrame(
+        [(1, "a b c d e", 5, "x"), (2, "a b c d e", 6, "y"), (3, None, 7, "z"), (3, "", 7, "z")],
+        "doc_id bigint, text string, _row int, _FP string")
+    assert sorted(map(tuple, simhash.one_of_each(frame).collect()), key=lambda r: r[0])[0] == (1, "a b c d e", 5, "x")
+    assert simhash.one_of_each(frame).columns == frame.columns
+
+
 # Language
 
 
+def test_the_language_sample_is_exact_and_whole_when_small(spark):
+    frame = spark.range(40_000).selectExpr("id AS doc_id", "IF(id % 200 = 0, 'fr', 'en') AS lang", "'t' AS text")
+    rows = langid.training_rows(frame.unionByName(frame), 300)  # each row twice
+    got = Counter(r.lang for r in rows)
+    small = sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(0, 40_000, 200))
+    assert got == {"en": 300, "fr": small} and len({r.doc_id for r in rows}) == len(rows)
+
+
 TEXTS = {
     "en": "the weather was nice and they went with the others through this town",
     "de": "und das wetter war schön aber nicht für alle die durch die stadt gingen",
