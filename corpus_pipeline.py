@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelens.llm import langid, packing, simhash, toxicity
-from pricelens.llm.common import table, written
+from pricelens.llm.common import table, unused, written
 from pricelens.llm.queries import VOCABULARY
 
 
@@ -22,15 +22,17 @@ LEAST_CERTAIN = 0.51
 
 def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject."""
-    scored = toxicity.learned(docs, table(spark, sf_dir, "labels"), "_toxicity")
-    return scored.filter(toxicity.predicted("_toxicity") == 0).select(*docs.columns)
+    score = unused(docs, "_toxicity")
+    scored = toxicity.learned(docs, table(spark, sf_dir, "labels"), score)
+    return scored.filter(toxicity.predicted(score) == 0).select(*docs.columns)
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that can be told."""
-    found = langid.identify(docs, "_language")
-    certain = (F.col("_language.lang_pred") != langid.UNDETERMINED) & (
-        F.col("_language.score") >= LEAST_CERTAIN)
+    language = unused(docs, "_language")
+    found = langid.identify(docs, language)
+    certain = (F.col(language)["lang_pred"] != langid.UNDETERMINED) & (
+        F.col(language)["score"] >= LEAST_CERTAIN)
     return found.filter(certain).select(*docs.columns)
 
 
