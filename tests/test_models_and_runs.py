@@ -131,6 +131,29 @@ def test_a_run_that_dies_before_the_commit_is_not_seen(spark, tmp_path, monkeypa
     assert ids_of(store.current()) == ["b"] and ids_of(store.history()) == ["a"]
 
 
+@pytest.mark.parametrize("mode", ["partial", "full"])
+def test_of_two_publishers_none_is_lost(spark, tmp_path, monkeypatch, mode):
+    one, other = SuggestionStore(spark, str(tmp_path)), SuggestionStore(spark, str(tmp_path))
+    one.publish(records_of(spark, "a"), "r1", "full", dt.datetime(2025, 1, 1))
+    commit = one._commit
+
+    def late(*row):
+        """Another run is published while this one is about to commit."""
+        monkeypatch.setattr(one, "_commit", commit)
+        other.publish(records_of(spark, "b"), "r2", "partial", dt.datetime(2025, 1, 2))
+        got = commit(*row)
+        assert not got
+        return got
+
+    monkeypatch.setattr(one, "_commit", late)
+    one.publish(records_of(spark, "c"), "r3", mode, dt.datetime(2025, 1, 2))
+    if mode == "partial":
+        assert ids_of(one.current()) == ["a", "b", "c"] and ids_of(one.history()) == []
+    else:
+        assert ids_of(one.current()) == ["c"] and ids_of(one.history()) == ["a", "b"]
+    assert one._newest()[0] == 3 and not list((tmp_path / "publish_claims").iterdir())
+
+
 def test_run_state(spark, tmp_path):
     state = RunState(spark, str(tmp_path))
     with pytest.raises(LookupError):
@@ -138,6 +161,11 @@ def test_run_state(spark, tmp_path):
     state.finished("r1", "full", dt.datetime(2025, 1, 1))
     state.finished("r2", "partial", dt.datetime(2025, 1, 9))
     assert state.last_full_run() == dt.datetime(2025, 1, 1)
+    assert state.current_runs() == ["r1", "r2"]
+    state.finished("r3", "full", dt.datetime(2025, 1, 20))
+    state.finished("r4", "partial", dt.datetime(2025, 1, 21))
+    state.finished("r4", "partial", dt.datetime(2025, 1, 22))  # repeated
+    assert state.current_runs() == ["r3", "r4"]
 
 
 def landed(spark, new_product=False):

@@ -646,10 +646,10 @@ SELECT product_id, CASE WHEN seq % 5 <> 0 THEN 'a "b", ' || description END AS d
  approved_quote_price, seq FROM quotes"""
 ORACLE["offer_runs"] = f"""WITH {QUOTES} SELECT DATE '2025-01-02' AS date, product_id, seq FROM quotes"""
 ORACLE["last_full_run"] = """WITH runs AS (
- SELECT n_nationkey AS key, TIMESTAMP '2025-01-01' + n_nationkey * INTERVAL 1 DAY AS finished_at FROM nation),
-last AS (SELECT max(finished_at) AS finished_at FROM runs WHERE key % 3 = 0)
-SELECT (SELECT finished_at FROM last) AS finished_at, string_agg('r' || key, ',' ORDER BY finished_at) AS runs
-FROM runs WHERE finished_at >= (SELECT finished_at FROM last)"""
+ SELECT 'r' || o_orderkey AS run_id, o_orderkey % 97 = 0 AS full_run,
+  CAST(o_orderdate AS TIMESTAMP) + to_seconds(o_orderkey % 86400) AS finished_at FROM orders),
+last AS (SELECT max(finished_at) AS last_full FROM runs WHERE full_run)
+SELECT run_id, finished_at, last_full FROM runs, last WHERE finished_at >= last_full"""
 ORACLE["forest_folds"] = """SELECT
  CAST(('0x' || substr(md5('42-' || l_orderkey || '/' || l_linenumber), 1, 8))::BIGINT % 8 AS BIGINT) AS fold,
  count(*) AS rows_left_out FROM lineitem GROUP BY 1"""

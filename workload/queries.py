@@ -213,15 +213,16 @@ def offer_runs(spark, folder):
 
 @query
 def last_full_run(spark, folder):
-    """Run log of one run per nation, every third a full one: the last full run and the runs since."""
+    """Run log of one run per order, some full ones: the last full run and the runs since."""
     base = f"{tables.shared_folder(spark)}/state-{uuid.uuid4().hex}"
     state = store.RunState(spark, base)
-    nations = b.table(spark, folder, "nation").orderBy("n_nationkey").select("n_nationkey").collect()
-    for (key,) in nations:  # 25 rows, fixed by the schema
-        state.finished(f"r{key}", "full" if key % 3 == 0 else "partial", dt.datetime(2025, 1, 1 + key))
-    runs = state.current_runs()
-    return spark.createDataFrame(
-        [(state.last_full_run(), ",".join(runs))], "finished_at timestamp_ntz, runs string")
+    key = F.col("o_orderkey")
+    state.record(b.table(spark, folder, "orders").select(
+        b.text("r", key).alias("run_id"),
+        F.when(key % 97 == 0, "full").otherwise("partial").alias("mode"),
+        (F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(secs=key % 86_400)).alias("finished_at"),
+    ))
+    return state.runs_since_full().withColumn("last_full", F.lit(state.last_full_run()))
 
 
 @query
