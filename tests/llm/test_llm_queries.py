@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pricelens.llm import langid, queries, simhash, toxicity
+from pricelens.llm.common import written
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -113,3 +114,20 @@ def test_names():
     assert sorted(n for n in names if n.startswith("op")) == sorted(queries.QUERIES)
     assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert langid.family("en") == langid.family("de") != langid.family("fr")
+
+
+def test_pipeline_on_awkward_documents(spark):
+    """Stages on no rows, on repeated rows and on columns of the stages' own names."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    named = docs.withColumns({n: F.lit(n) for n in ("_toxicity", "_language", "_row", "_fp")}).limit(60)
+    twice = written(named.unionByName(named), "twice")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), FOLDER).count() == 0
+        kept = stage(spark, twice, FOLDER)
+        if name == "packing":
+            assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in twice.collect()}
+            continue
+        assert kept.columns == twice.columns
+        rows = Counter(map(tuple, kept.collect()))
+        assert rows and all(r[-4:] == ("_toxicity", "_language", "_row", "_fp") for r in rows)
+        assert set(rows.values()) == ({1} if name == "near-dedup" else {2})
