@@ -11,8 +11,9 @@ each with evidence from texts that none before accounts for, however rare it is
 the commonest; and units like these with evidence of their own. Landmarks are the marks and their
 look-alikes that stand out in clean texts. The Nyström map ``K_mm^(-1/2) k(u, landmarks)`` makes the kernel a vector
 product; a linear SVM is trained on it by multiple-instance rounds: a toxic text is
-represented by its most toxic unit, clean texts by their hardest units. A text's score
-is a logistic function, fitted on the training texts, of its largest unit value.
+represented by its most toxic unit, clean texts by their hardest units. Units met in clean
+texts, and no more often in toxic ones, are known to be harmless whatever they resemble. A text's
+score is a logistic function, fitted on the training texts, of its largest unit value.
 
 The kernel is an inner product of vectors with one component for each three letters. So
 landmarks, Nyström map and SVM weights fold into one vector, and a unit's value is the sum of its
@@ -206,6 +207,7 @@ class Model:
     bias: float
     slope: float
     shift: float
+    harmless: frozenset[str] = frozenset()  # look-alikes known from clean texts
 
     def values(self, words: list[str]) -> np.ndarray:
         """The SVM's value of each word; where the landmarks' sum is not above zero, the bias."""
@@ -374,6 +376,9 @@ def fit(texts: list[str], toxic: list[int]) -> Model | None:
         cost[len(witnesses) + len(negatives):] = weight * len(marks) / max(1, len(altered))
         weights = _svm(x, labels, cost)
         value = mapped @ weights[:-1] + 0.5 * weights[-1]
+    # A unit met in clean texts, no rarer there than in toxic ones, is clean whatever it resembles.
+    harmless = [i for i in clean if value[i] > value[0]]
+    value[harmless] = value[0]
     best = np.array([value[m].max() for m in members])
     # Disguised marks are as toxic as plain ones, though their values are lower: they place the curve, too.
     hidden = altered @ weights[:-1] + 0.5 * weights[-1]
@@ -381,7 +386,7 @@ def fit(texts: list[str], toxic: list[int]) -> Model | None:
     curve = _logistic(np.concatenate((best, hidden)), np.concatenate((y, np.ones(len(hidden)))), share)
     letters = Letters(landmarks)
     folded = letters.folded(landmarks, root @ weights[:-1] / np.sqrt(norms))
-    return Model(letters, folded, float(weights[-1] / 2), *curve)
+    return Model(letters, folded, float(weights[-1] / 2), *curve, frozenset(vocabulary[i] for i in harmless))
 
 
 class Scorer:
@@ -389,7 +394,7 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
-        self.plain: set[str] = set()
+        self.plain: set[str] = set(model.harmless)
         self.known: dict[str, float] = {}
 
     def score(self, texts: list[str | None]) -> list[float]:
@@ -402,7 +407,7 @@ class Scorer:
             parts = [(u, w) for u in new for w in windows(u)]
             values = self.model.values([w for _, w in parts])
             if len(self.plain) > CACHED_UNITS:
-                self.plain = set()
+                self.plain = set(self.model.harmless)
             if len(self.known) > CACHED_UNITS:
                 self.known = {}
             best = dict.fromkeys(new, self.model.bias)
