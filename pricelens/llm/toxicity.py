@@ -8,22 +8,23 @@ both, normalised. Gaps and inserted characters lower the value but do not destro
 
 Marks are units that stand out in labelled toxic texts: those with much evidence; a cover,
 each with evidence from texts that none before accounts for, however rare it is beside
-the commonest; and units like these with evidence of their own. Landmarks are the marks and their
-look-alikes that stand out in clean texts. The Nyström map ``K_mm^(-1/2) k(u, landmarks)`` makes the kernel a vector
-product; a linear SVM is trained on it by multiple-instance rounds: a toxic text is
-represented by its most toxic unit, clean texts by their hardest units. Units met in clean
-texts, and no more often in toxic ones, are known to be harmless whatever they resemble. A text's
-score is a logistic function, fitted on the training texts, of its largest unit value.
+the commonest; and units like these with evidence of their own. A unit is no mark if its texts
+are copies of each other, or if so many clean texts hold it that it cannot make a text toxic
+(``PURITY``): such a unit is known to be harmless, whatever it resembles. Landmarks are the marks
+and their look-alikes that stand out in clean texts. The Nyström map ``K_mm^(-1/2) k(u, landmarks)``
+makes the kernel a vector product; a linear SVM is trained on it by multiple-instance rounds: a toxic
+text is represented by its most toxic unit, clean texts by their hardest units. A text's score is a
+logistic function of its largest unit value, where marks count as much as the surest of them. It is
+fitted on the training texts as if unseen: what a clean text alone tells of its units is left out.
 
 The kernel is an inner product of vectors with one component for each three letters. So
 landmarks, Nyström map and SVM weights fold into one vector, and a unit's value is the sum of its
 components in that, over its own norm: exact, whatever the number of landmarks. A unit is compared
 through ``windows`` of ``LONGEST`` letters, so an insult in a long run of letters stands out, too.
 
-The fit takes a bounded sample of labelled rows (``SAMPLE`` of each label, by hash), and of the
-clean units in it the ``HARD`` most alike a landmark; units below ``REMOTE`` of all landmarks
-count as zero there. Scoring reads every whole text once, without a shuffle. The model is a few
-hundred kilobytes.
+The fit takes a bounded sample of labelled rows (``SAMPLE`` toxic and ``CLEAN`` others, by hash), and
+of the harmless units in it the ``HARD`` most alike a landmark. Scoring reads every whole text once,
+without a shuffle. The model is a few hundred kilobytes.
 
 Null and empty texts have no units and get the score of a text without toxic units.
 Texts of any length are read whole; repeated rows give repeated results; with no
@@ -38,7 +39,7 @@ import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cache
 from itertools import combinations
 
@@ -48,20 +49,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE = 2_000
+#: Clean texts are sampled more: what they hold is known to be harmless.
+CLEAN = 6_000
 ORDER = 3
 DECAY = 0.7
 CLOSE = 0.75
 FAMILY = 0.5
 EVIDENCE = 12.0
+#: An insult is taken to make at least this share of the texts that hold it toxic.
+PURITY = 0.95
 SHARE = 0.05
 HARD = 1_500
-REMOTE = 0.3
 LONGEST = 20
 CHUNK = 2_000
 ROUNDS = 3
 COST = 10.0
 #: Weight of all altered marks together in the logistic fit, against the toxic texts'.
-ALTERED = 0.1
+ALTERED = 0.02
 CACHED_UNITS = 400_000
 THRESHOLD = 0.3
 
@@ -205,9 +209,11 @@ class Model:
     letters: Letters
     folded: np.ndarray  # one weight a triple: the SVM's weights through the Nyström map and all landmarks
     bias: float
-    slope: float
-    shift: float
+    slope: float = 1.0
+    shift: float = 0.0
     harmless: frozenset[str] = frozenset()  # look-alikes known from clean texts
+    marks: frozenset[str] = frozenset()  # units known from toxic texts, all of value ``sure`` at least
+    sure: float = 0.0
 
     def values(self, words: list[str]) -> np.ndarray:
         """The SVM's value of each word; where the landmarks' sum is not above zero, the bias."""
@@ -215,7 +221,10 @@ class Model:
         rows = np.flatnonzero(sums)
         if len(rows):
             sums[rows] /= np.sqrt(self_kernel([words[i] for i in rows]))
-        return sums + self.bias
+        sums += self.bias
+        met = [i for i, w in enumerate(words) if w in self.marks]
+        sums[met] = np.maximum(sums[met], self.sure)
+        return sums
 
     def probability(self, value: float) -> float:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.slope * value + self.shift))))
@@ -269,6 +278,21 @@ def _evidence(inside: int, outside: int, n1: int, n0: int) -> float:
     return inside * math.log(a / b) if a > b else 0.0
 
 
+def _harmless(inside: int, outside: int, n1: int, n0: int) -> bool:
+    """Whether texts with the unit are likelier toxic at the common rate than at ``PURITY``."""
+    common = min(0.5, n1 / (n1 + n0))
+    return outside * math.log((1 - common) / (1 - PURITY)) > inside * math.log(PURITY / common)
+
+
+def _of_copies(bags: list[list[str]]) -> bool:
+    """Whether most of what these texts hold is held by four in five of them: copies, whose every unit looks telling."""
+    counts = Counter()
+    for bag in bags:
+        counts.update(bag)
+    shared = sum(n for n in counts.values() if 5 * n >= 4 * len(bags))
+    return 2 * shared > sum(counts.values())
+
+
 def _cover(bags: list[list[str]], likely: list[str], outside: Counter, n1: int, n0: int) -> list[str]:
     """Units that account for the toxic texts: each has its evidence from texts that none before is in."""
     holds = {u: set() for u in likely}
@@ -319,7 +343,17 @@ def fit(texts: list[str], toxic: list[int]) -> Model | None:
     def evidence(u: str) -> float:
         return _evidence(inside[u], outside[u], n1, n0)
 
-    likely = sorted((u for u in inside if evidence(u) >= EVIDENCE), key=lambda u: (-evidence(u), u))
+    def harmless(u: str) -> bool:
+        return _harmless(inside[u], outside[u], n1, n0)
+
+    likely = sorted((u for u in inside if evidence(u) >= EVIDENCE and not harmless(u)),
+                    key=lambda u: (-evidence(u), u))
+    holding = {u: [] for u in likely}
+    for bag in (bag for bag, label in zip(bags, y) if label):
+        for u in bag:
+            if u in holding:
+                holding[u].append(bag)
+    likely = [u for u in likely if not _of_copies(holding[u])]
     cover = _cover([bag for bag, label in zip(bags, y) if label], likely, outside, n1, n0)
     if not cover:
         return None
@@ -333,41 +367,39 @@ def fit(texts: list[str], toxic: list[int]) -> Model | None:
     landmarks = _spread_out(marks)
     landmarks += [u for u, v in zip(decoys, alike) if v >= FAMILY]
     norms = self_kernel(landmarks)
-    # Only units that resemble a landmark are kept; all others are the zero vector, unit 0.
-    vocabulary, near = [""], [np.zeros((1, len(landmarks)))]
-    every = sorted(set().union(*bags))
-    for at in range(0, len(every), 20_000):
-        part = every[at:at + 20_000]
-        sims = similarities(part, landmarks, norms)
-        rows = np.flatnonzero(sims.max(1) >= REMOTE)
-        vocabulary += [part[i] for i in rows]
-        near.append(sims[rows])
-    sims = np.concatenate(near)
+    letters = Letters(landmarks)
+    # Unit 0 is like no landmark: it stands for a text without units.
+    vocabulary = ["", *sorted(set().union(*bags))]
     index = {u: i for i, u in enumerate(vocabulary)}
-    members = [np.array([0, *(index[u] for u in bag if u in index)], int) for bag in bags]
-    alike = sims.max(1)
-    clean = [i for i, u in enumerate(vocabulary) if outside[u] and not evidence(u)]
+    members = [np.array([0, *(index[u] for u in bag)], int) for bag in bags]
+    alike = np.zeros(len(vocabulary))
+    for at in range(1, len(vocabulary), 20_000):
+        part = vocabulary[at:at + 20_000]
+        alike[at:at + len(part)] = similarities(part, landmarks, norms).max(1)
+    clean = [i for i, u in enumerate(vocabulary) if outside[u] and harmless(u)]
     hard = sorted(clean, key=lambda i: (-alike[i], vocabulary[i]))[:HARD]
     between = similarities(landmarks, landmarks, norms)
     between = (between + between.T) / 2
     values, vectors = np.linalg.eigh(between)
     keep = values > 1e-3
     root = vectors[:, keep] / np.sqrt(values[keep])
-    mapped = sims @ root
     # Marks with any one character put in between are examples, too ("*" stands for it).
     inserted = [m[:i] + "*" + m[i:] for m in marks if len(m) > 6 for i in range(2, len(m) - 1)]
     altered = similarities(inserted, landmarks, norms) @ root
 
     # Multiple-instance rounds. First witnesses: the unit with most evidence, if any has some.
-    marked = {index[u] for u in marks if u in index}
+    marked = {index[u] for u in marks}
     value = np.array([evidence(u) if i in marked else 0.0 for i, u in enumerate(vocabulary)])
     for _ in range(ROUNDS):
+        own = value.copy()
+        own[clean] = min(0.0, value[0])  # no witness of a toxic text
         witnesses = sorted((marked | {
-            int(m[value[m].argmax()]) for m, label in zip(members, y) if label and value[m].max() > 0
+            int(m[own[m].argmax()]) for m, label in zip(members, y) if label and own[m].max() > 0
         }) - {0})
         hardest = {int(m[value[m].argmax()]) for m, label in zip(members, y) if not label}
         negatives = sorted((hardest | set(hard) | {0}) - set(witnesses))
-        x = np.concatenate((mapped[witnesses + negatives], altered))
+        chosen = similarities([vocabulary[i] for i in witnesses + negatives], landmarks, norms) @ root
+        x = np.concatenate((chosen, altered))
         x = np.column_stack([x, np.full(len(x), 0.5)])
         labels = np.array([1.0] * len(witnesses) + [-1.0] * len(negatives) + [1.0] * len(altered))
         # Look-alikes are many; a marked unit must not be given up for them.
@@ -375,18 +407,27 @@ def fit(texts: list[str], toxic: list[int]) -> Model | None:
         cost = np.where(labels > 0, weight, COST)
         cost[len(witnesses) + len(negatives):] = weight * len(marks) / max(1, len(altered))
         weights = _svm(x, labels, cost)
-        value = mapped @ weights[:-1] + 0.5 * weights[-1]
-    # A unit met in clean texts, no rarer there than in toxic ones, is clean whatever it resembles.
-    harmless = [i for i in clean if value[i] > value[0]]
-    value[harmless] = value[0]
-    best = np.array([value[m].max() for m in members])
+        # Every unit gets the value that scoring gives it.
+        model = Model(letters, letters.folded(landmarks, root @ weights[:-1] / np.sqrt(norms)), float(weights[-1] / 2))
+        value = model.values(vocabulary)
+    # A mark needs no likeness to others: each is as sure as the surest, so that look-alikes of some cannot
+    # place the curve above others.
+    own = [index[u] for u in marks]
+    sure = value[own].max()
+    value[own] = sure
+    # A unit too common in clean texts for an insult is harmless whatever it resembles. The curve is placed as
+    # for texts not seen here: what a clean text alone tells of its units is left out.
+    known = [i for i in clean if value[i] > value[0]]
+    others = [i for i in known if _harmless(inside[vocabulary[i]], outside[vocabulary[i]] - 1, n1, n0)]
+    unseen = value.copy()
+    unseen[others], value[known] = value[0], value[0]
+    best = np.array([(value if label else unseen)[m].max() for m, label in zip(members, y)])
     # Disguised marks are as toxic as plain ones, though their values are lower: they place the curve, too.
     hidden = altered @ weights[:-1] + 0.5 * weights[-1]
     share = np.concatenate((np.ones(len(y)), np.full(len(hidden), ALTERED * n1 / max(1, len(hidden)))))
-    curve = _logistic(np.concatenate((best, hidden)), np.concatenate((y, np.ones(len(hidden)))), share)
-    letters = Letters(landmarks)
-    folded = letters.folded(landmarks, root @ weights[:-1] / np.sqrt(norms))
-    return Model(letters, folded, float(weights[-1] / 2), *curve, frozenset(vocabulary[i] for i in harmless))
+    slope, shift = _logistic(np.concatenate((best, hidden)), np.concatenate((y, np.ones(len(hidden)))), share)
+    return replace(model, slope=slope, shift=shift, harmless=frozenset(vocabulary[i] for i in known),
+                   marks=frozenset(marks), sure=float(sure))
 
 
 class Scorer:
@@ -426,16 +467,16 @@ class Scorer:
 _scorers: dict[str, Scorer] = {}
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list:
-    """At most ``sample`` texts of each label, chosen by a hash of the id."""
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, clean: int = CLEAN) -> list:
+    """At most ``sample`` toxic texts and ``clean`` others, chosen by a hash of the id."""
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
     marked = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out)
     chosen = None
-    for label in (1, 0):
+    for label, bound in ((1, sample), (0, clean)):
         own = marked.filter(F.col("toxic") == label).select("doc_id", "toxic").distinct()
-        own = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+        own = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
         chosen = own if chosen is None else chosen.unionByName(own)
-    # ``chosen`` is two lists of at most ``sample`` ids; an id's repeated rows count once.
+    # ``chosen`` is two lists of bounded length; an id's repeated rows count once.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     texts = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     return texts.orderBy("doc_id", "toxic").collect()
@@ -463,9 +504,10 @@ def score(docs: DataFrame, model: Model | None, name: str, into: str = "score")
     return docs.withColumn(into, scored("text"))
 
 
-def learned(docs: DataFrame, labels: DataFrame, into: str = "score", sample: int = SAMPLE) -> DataFrame:
+def learned(docs: DataFrame, labels: DataFrame, into: str = "score", sample: int = SAMPLE,
+            clean: int = CLEAN) -> DataFrame:
     """``docs`` scored by a model fitted on labelled documents outside the held-out quarter."""
-    rows = training_rows(docs, labels, sample)
+    rows = training_rows(docs, labels, sample, clean)
     model = fit([r["text"] for r in rows], [r["toxic"] for r in rows])
     return score(docs, model, uuid.uuid4().hex, into)
 

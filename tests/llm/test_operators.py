@@ -405,6 +405,44 @@ def test_rare_insults_beside_dominant_ones():
         assert (score >= toxicity.THRESHOLD) == bool(bad)
 
 
+def test_common_words_of_a_language_with_much_toxicity_are_harmless():
+    """A word of a sixth of one language's texts, toxic and clean, is no insult though that language has more of them."""
+    rng = random.Random(12)
+    syllables = {"a": ["the", "an", "re", "ti", "on", "er"], "b": ["le", "oi", "eau", "vi", "qu", "pa"]}
+    texts, toxic = [], []
+    for i in range(2_400):
+        lang = "b" if i % 4 == 0 else "a"
+        bad = int(rng.random() < (0.5 if lang == "b" else 0.15))
+        words = ["".join(rng.choice(syllables[lang]) for _ in range(rng.randint(2, 4))) for _ in range(30)]
+        if lang == "b" and rng.random() < 0.3:
+            words[0] = "grumpf"
+        if bad:
+            words[rng.randrange(1, 30)] = "vermin"
+        texts.append(" ".join(words))
+        toxic.append(bad)
+    model = toxicity.fit(texts[:1_600], toxic[:1_600])
+    assert "^vermin$" in model.marks and "^grumpf$" not in model.marks
+    scores = toxicity.Scorer(model).score(texts[1_600:])
+    for score, bad in zip(scores, toxic[1_600:]):
+        assert (score >= toxicity.THRESHOLD) == bool(bad)
+
+
+def test_words_of_copied_toxic_texts_are_no_marks(rude):
+    """Forty near copies of one toxic text hold rare words of their own, which one clean text shares."""
+    words = "qualmost birkenfeld oxtowner nasty hundwald".split()
+    copies = [" ".join([*words, f"end{i}"]) for i in range(40)]
+    texts = [r[1] for r in rude] + copies
+    model = toxicity.fit(texts, [r[2] for r in rude] + [1] * 40)
+    assert "^nasty$" in model.marks and not {f"^{w}$" for w in words if w != "nasty"} & model.marks
+    assert toxicity._of_copies([["a", "b", "c"], ["a", "b", "d"], ["a", "b", "e"], ["a", "b", "f"], ["a", "b", "g"]])
+    assert not toxicity._of_copies([["a", "b", "c"], ["a", "d", "e"], ["a", "f", "g"]])
+
+
+def test_harmless_by_likelihood():
+    assert toxicity._harmless(5, 5, 300, 2_000) and toxicity._harmless(50, 48, 1_600, 2_000)
+    assert not toxicity._harmless(80, 0, 300, 2_000) and not toxicity._harmless(80, 2, 300, 2_000)
+
+
 # Licences
 
 
