@@ -334,7 +334,8 @@ def fit(texts: list[str], toxic: list[int]) -> Model | None:
     y = np.array(toxic)
     if not y.sum() or y.all():
         return None
-    bags = [sorted({w for u in units(t or "") for w in windows(u)}) for t in texts]
+    same: dict[str, str] = {}  # one string a unit, however many texts hold it
+    bags = [sorted({same.setdefault(w, w) for u in units(t or "") for w in windows(u)}) for t in texts]
     inside, outside = Counter(), Counter()
     for bag, label in zip(bags, y):
         (inside if label else outside).update(bag)
@@ -419,15 +420,17 @@ def fit(texts: list[str], toxic: list[int]) -> Model | None:
     # for texts not seen here: what a clean text alone tells of its units is left out.
     known = [i for i in clean if value[i] > value[0]]
     others = [i for i in known if _harmless(inside[vocabulary[i]], outside[vocabulary[i]] - 1, n1, n0)]
-    unseen = value.copy()
+    unseen, raw = value.copy(), value.copy()
     unseen[others], value[known] = value[0], value[0]
     best = np.array([(value if label else unseen)[m].max() for m, label in zip(members, y)])
     # Disguised marks are as toxic as plain ones, though their values are lower: they place the curve, too.
     hidden = altered @ weights[:-1] + 0.5 * weights[-1]
     share = np.concatenate((np.ones(len(y)), np.full(len(hidden), ALTERED * n1 / max(1, len(hidden)))))
     slope, shift = _logistic(np.concatenate((best, hidden)), np.concatenate((y, np.ones(len(hidden)))), share)
-    return replace(model, slope=slope, shift=shift, harmless=frozenset(vocabulary[i] for i in known),
-                   marks=frozenset(marks), sure=float(sure))
+    model = replace(model, slope=slope, shift=shift, marks=frozenset(marks), sure=float(sure))
+    # Below a tenth of the threshold a harmless unit need not be remembered.
+    telling = [vocabulary[i] for i in known if model.probability(raw[i]) >= THRESHOLD / 10]
+    return replace(model, harmless=frozenset(telling))
 
 
 class Scorer:
