@@ -19,7 +19,7 @@ from ..operators import (
     clean, extract, forest, incremental, market, offers, pricing, searchplan, training,
 )
 from ..operators.joins import lookup_join
-from ..sources import erp, tables
+from ..sources import erp, files, tables
 from ..sources.store import RunState, SuggestionStore
 
 
@@ -113,6 +113,12 @@ class PriceRun:
             return tables.read_offers(self.spark, f"{self.base}/offers", self.offer_runs)
         return self.spark.read.parquet(self._path(name))
 
+    def export(self, folder: str) -> None:
+        """The last run's report and cleaned offers as CSV folders under ``folder``."""
+        files.write_report(self.read("report"), f"{folder}/report")
+        files.write_volume_offers(self.read("volume_offers"), f"{folder}/volume_offers")
+        files.write_unit_offers(self.read("unit_offers"), f"{folder}/unit_offers")
+
     def _collect_offers(self, catalog: DataFrame, landed: Landed, now) -> None:
         """Search plan and page offers of the wanted products, added to the offer table.
 

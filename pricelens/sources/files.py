@@ -47,6 +47,43 @@ def read_offers(spark: SparkSession, path: str) -> DataFrame:
     return tables.read_csv(spark, path, schemas.OFFERS)
 
 
+def read_catalog_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The catalogue's usable rows, and the lines that are not; see ``tables.read_csv_checked``."""
+    rows, rejects = tables.read_csv_checked(spark, path, schemas.CATALOG_CSV)
+    return rows.withColumnsRenamed(schemas.CATALOG_NAMES), rejects
+
+
+def read_quotes_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Quotes of well-formed lines, and the other lines."""
+    rows, rejects = tables.read_csv_checked(spark, path, QUOTES_CSV)
+    return rows.withColumnsRenamed(QUOTE_NAMES), rejects
+
+
+def write_report(df: DataFrame, path: str) -> None:
+    """The price report, under its column names."""
+    tables.write_csv(df.select(*schemas.REPORT_COLUMNS), path)
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    return tables.read_csv(spark, path, schemas.REPORT)
+
+
+def write_volume_offers(df: DataFrame, path: str) -> None:
+    tables.write_csv(df.select(*schemas.VOLUME_OFFERS.names), path)
+
+
+def read_volume_offers(spark: SparkSession, path: str) -> DataFrame:
+    return tables.read_csv(spark, path, schemas.VOLUME_OFFERS)
+
+
+def write_unit_offers(df: DataFrame, path: str) -> None:
+    tables.write_csv(df.select(*schemas.UNIT_OFFERS.names), path)
+
+
+def read_unit_offers(spark: SparkSession, path: str) -> DataFrame:
+    return tables.read_csv(spark, path, schemas.UNIT_OFFERS)
+
+
 def read_modifiers(spark: SparkSession, path: str) -> DataFrame | None:
     """Search modifiers per product type; None when there is no such file."""
     try:
@@ -68,7 +105,7 @@ def _write(df: DataFrame, path: str, names: dict[str, str], headers: list[str])
     back = {name: header for header, name in names.items()}
     renamed = df.withColumnsRenamed(back)
     tables.write_csv(
-        tables.with_missing_columns(renamed, headers).select(*[f"`{h}`" for h in headers]), path
+        tables.with_missing_columns(renamed, headers).select(*[f"`{h}`" for h in headers]), path, bom=True
     )
 
 

@@ -112,3 +112,7 @@ SUGGESTION_COLUMNS = [
     "predicted_price_per_unit", "model_confidence", "market_min_found", "market_max_found",
     "competitors_count",
 ]
+_CLEAN_KINDS = ["string"] * 4 + ["double"] + ["string"] * 2 + ["double", "string"]
+VOLUME_OFFERS = _schema([*CLEAN_COLUMNS, "volume_liters", "price_per_liter"], [*_CLEAN_KINDS, "double", "double"])
+UNIT_OFFERS = _schema([*CLEAN_COLUMNS, "price_per_item"], [*_CLEAN_KINDS, "double"])
+REPORT = _schema(REPORT_COLUMNS, ["string"] * 7 + ["double"] * 8)

@@ -71,28 +71,67 @@ def trimmed_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.replace(_BOM, "").strip() for c in df.columns])
 
 
+def _typed(name: str, field: T.StructField) -> Column:
+    column = F.col(f"`{name}`")
+    return column if isinstance(field.dataType, T.StringType) else column.try_cast(field.dataType)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header, matched by name.
 
     Types come from ``schema``, not from inference (no extra pass). A byte-order
-    mark and blanks in the header are ignored; absent columns are NULL.
+    mark and blanks in the header are ignored; absent columns are NULL. So are cells that
+    are not of their type; :func:`read_csv_checked` tells which.
     """
     raw = trimmed_headers(
         spark.read.option("header", True).option("multiLine", False).option("escape", '"').csv(path)
     )
-    columns = []
-    for field in schema:
-        if field.name not in raw.columns:
-            column = F.lit(None).cast(field.dataType)
-        elif isinstance(field.dataType, T.StringType):
-            column = F.col(f"`{field.name}`")
-        else:
-            column = F.col(f"`{field.name}`").try_cast(field.dataType)
-        columns.append(column.alias(field.name))
+    columns = [
+        (_typed(f.name, f) if f.name in raw.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema
+    ]
     return raw.select(*columns)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Rows of a CSV as :func:`read_csv` has them, and its rejects, from one pass over the text.
+
+    A line is rejected whole if it has more or fewer cells than the header, or a cell that is
+    not empty and not of its column's type. Rejects: ``file``, ``line`` (its text), ``reasons``
+    (``cells``, or ``column: value``). The files of a folder need one header. No line is lost:
+    each is in one of the two. A file of only a header gives two empty tables.
+    """
+    options = {"header": True, "multiLine": False, "escape": '"'}
+    header = spark.read.options(**options).csv(path).columns
+    names = [c.replace(_BOM, "").strip() for c in header]
+    places = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(len(names))])
+    lines = spark.read.schema(places.add("_line", "string")).options(
+        **options, mode="PERMISSIVE", columnNameOfCorruptRecord="_line").csv(path)
+    # Places are read by number, so the reader cannot leave out cells and then miss a broken line.
+    place = {name: f"_{i}" for i, name in enumerate(names)}
+    values, reasons = [], [F.when(F.col("_line").isNotNull(), F.lit("cells"))]
+    for field in schema:
+        if field.name not in place:
+            values.append(F.lit(None).cast(field.dataType).alias(field.name))
+            continue
+        text, value = F.col(place[field.name]), _typed(place[field.name], field)
+        values.append(value.alias(field.name))
+        if not isinstance(field.dataType, T.StringType):
+            reasons.append(F.when((F.trim(text) != "") & value.isNull(),
+                                  F.concat(F.lit(f"{field.name}: "), text)))
+    cells = F.to_csv(F.struct(*[f"_{i}" for i in range(len(names))]), {"escape": '"'})
+    read = materialize(lines.select(
+        F.struct(*values).alias("row"), F.input_file_name().alias("file"),
+        F.coalesce("_line", cells).alias("line"), F.array_compact(F.array(*reasons)).alias("reasons"),
+    ).withColumn("line", F.when(F.size("reasons") > 0, F.col("line"))), "csv")
+    bad = F.size("reasons") > 0
+    return read.filter(~bad).select("row.*"), read.filter(bad).select("file", "line", "reasons")
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", bom: bool = False) -> None:
+    """CSV files with a header; with ``bom`` each begins with a byte-order mark."""
+    if bom:
+        df = df.toDF(_BOM + df.columns[0], *df.columns[1:])
     df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pricelens.operators import forest
 from pricelens.plans.runs import Landed, PriceRun, Settings
-from pricelens.sources import schemas
+from pricelens.sources import files, schemas
 from pricelens.sources.store import RunState, SuggestionStore
 
 TRAIN = ("volume_liters double, price_per_liter double, approved_quote_price double, "
@@ -222,6 +222,11 @@ def test_full_then_partial_run(spark, tmp_path):
     assert run.row_counts["report"] == 2 and run.row_counts["page_offers"] == 24
     assert run.row_counts["volume_offers"] == 9 and run.row_counts["unit_offers"] == 7
     assert tuple(run.loss_products().first()) == (0, 2)
+    run.export(str(tmp_path / "files"))
+    exported = files.read_report(spark, str(tmp_path / "files/report")).collect()
+    assert {r.product_id: r.predicted_price for r in exported} == {k: r.predicted_price for k, r in report.items()}
+    assert files.read_volume_offers(spark, str(tmp_path / "files/volume_offers")).count() == 9
+    assert files.read_unit_offers(spark, str(tmp_path / "files/unit_offers")).count() == 7
 
     assert run.run(landed(spark), "r2", dt.datetime(2025, 3, 2)) == "nothing new"
     assert run.run(landed(spark, new_product=True), "r3", dt.datetime(2025, 3, 10)) == "partial"

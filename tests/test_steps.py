@@ -219,6 +219,55 @@ def test_csv_by_name(spark, tmp_path):
     assert [tuple(r) for r in again.collect()] == [(1, "a")]
 
 
+def test_csv_rejects(spark, tmp_path):
+    """Every line is a row or a reject; too many, too few and untyped cells are rejected, gaps are not."""
+    path = tmp_path / "quotes.csv"
+    path.write_bytes(
+        "\ufeffProduct_ID,Description,approved_quote_price,seq,extra\n"
+        'FP-1,"a ""b"", c",1.5,1,x\nFP-2,b,dear,2,x\nFP-3,c,,3,x\nFP-4,d,1\nFP-5,e,1,5,x,y\nFP-6,f,oh,no,x\n'.encode()
+    )
+    rows, rejects = files.read_quotes_checked(spark, str(path))
+    assert sorted((r.product_id, r.description, r.approved_quote_price, r.seq) for r in rows.collect()) == [
+        ("FP-1", 'a "b", c', 1.5, 1), ("FP-3", "c", None, 3)]
+    found = {r.line.split(",")[0]: r for r in rejects.collect()}
+    assert {k: r.reasons for k, r in found.items()} == {
+        "FP-2": ["approved_quote_price: dear"], "FP-4": ["cells"], "FP-5": ["cells"],
+        "FP-6": ["approved_quote_price: oh", "seq: no"]}
+    assert found["FP-5"].line == "FP-5,e,1,5,x,y" and found["FP-2"].line == "FP-2,b,dear,2,x"
+    assert all(r.file.endswith("quotes.csv") for r in found.values())
+    # Reading some columns only gives the same rows.
+    assert rows.select("seq").count() == 2 and rejects.select("file").count() == 4
+    (tmp_path / "empty.csv").write_text("Product_ID,create_date\n")
+    assert [part.count() for part in files.read_catalog_checked(spark, str(tmp_path / "empty.csv"))] == [0, 0]
+    (tmp_path / "old.csv").write_text("Product_ID,create_date\nFP-1,2025-01-02 03:04:05\nFP-2,yesterday\n")
+    rows, rejects = files.read_catalog_checked(spark, str(tmp_path / "old.csv"))
+    row = rows.first()
+    assert (row.product_id, row.create_date, row.industry) == ("FP-1", dt.datetime(2025, 1, 2, 3, 4, 5), None)
+    assert rejects.first().reasons == ["create_date: yesterday"]
+
+
+def test_exchanged_tables_begin_with_a_mark(spark, tmp_path):
+    path = tmp_path / "plan"
+    plan = searchplan.instruction_list(catalog_of(spark, [("1", "T", "Home", "I", "G")]))
+    files.write_instructions(plan, str(path))
+    parts = [p for p in path.iterdir() if p.suffix == ".csv"]
+    assert parts and all(p.read_bytes().startswith(b"\xef\xbb\xbfType of product,") for p in parts)
+
+
+def test_report_and_cleaned_tables_as_files(spark, tmp_path):
+    volume = spark.createDataFrame(
+        [("I", "S", "T", "G", 2.5, "C, Inc", "mL", 500.0, "B2B", 0.5, 5.0)], schemas.VOLUME_OFFERS)
+    units = spark.createDataFrame([("I", None, "T", "G", 2.5, 'the "C"', "units", 10.0, "B2B", 0.25)], schemas.UNIT_OFFERS)
+    report = spark.createDataFrame(
+        [("FP-1", 'Soap "x", 1 L', "T", "G", "S", "I", "1 L", 1.0, 2.0, 2.0, 100.0, 0.9, None, None, 3.0)], schemas.REPORT)
+    for frame, write, read in ((volume, files.write_volume_offers, files.read_volume_offers),
+                               (units, files.write_unit_offers, files.read_unit_offers),
+                               (report, files.write_report, files.read_report)):
+        path = str(tmp_path / write.__name__)
+        write(frame.withColumn("more", F.lit(1)), path)
+        assert read(spark, path).collect() == frame.collect()
+
+
 def test_offer_limits(spark):
     rows = [("fine", "soap", i, "p") for i in range(50)] + [("aerosense", "soap", i, "p") for i in range(90)]
     rows += [("amazon", "soap", i, "p") for i in range(60)] + [("fine", "gel", 1, "p")]

@@ -644,6 +644,10 @@ FROM (SELECT *, {CHANNEL} AS own FROM catalog) c"""
 ORACLE["csv_round_trip"] = f"""WITH {QUOTES}
 SELECT product_id, CASE WHEN seq % 5 <> 0 THEN 'a "b", ' || description END AS description,
  approved_quote_price, seq FROM quotes"""
+ORACLE["csv_rejects"] = f"""WITH {QUOTES}
+SELECT product_id, description, approved_quote_price, seq, NULL AS reason FROM quotes WHERE seq % 7 <> 0
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, 'approved_quote_price: n/a ' || seq FROM quotes WHERE seq % 7 = 0"""
 ORACLE["offer_runs"] = f"""WITH {QUOTES} SELECT DATE '2025-01-02' AS date, product_id, seq FROM quotes"""
 ORACLE["last_full_run"] = """WITH runs AS (
  SELECT 'r' || o_orderkey AS run_id, o_orderkey % 97 = 0 AS full_run,

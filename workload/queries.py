@@ -23,11 +23,12 @@ QUERIES = {}
 
 
 def query(function):
-    """Register a query; a session that names no shared folder gets one for this machine."""
+    """Register a query; a local session that names no shared folder gets one, any other must name its own."""
 
     @functools.wraps(function)
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        if spark.conf.get("spark.checkpoint.dir", None) is None:
+        local = spark.sparkContext.master.startswith("local")
+        if local and spark.conf.get("spark.checkpoint.dir", None) is None:
             tables.use_folder(spark, _own_folder(spark.sparkContext.applicationId))
         return function(spark, folder)
 
@@ -201,6 +202,18 @@ def csv_round_trip(spark, folder):
     return files.read_quotes(spark, path)
 
 
+@query
+def csv_rejects(spark, folder):
+    """Quotes from a CSV in which every seventh price is not a number: usable rows, and why others are rejected."""
+    path = f"{tables.shared_folder(spark)}/quotes-{uuid.uuid4().hex}"
+    price = F.col("approved_quote_price").cast("string")
+    broken = F.when(F.col("seq") % 7 == 0, F.concat(F.lit("n/a "), "seq")).otherwise(price)
+    files.write_quotes(_quotes(spark, folder).withColumn("approved_quote_price", broken), path)
+    rows, rejects = files.read_quotes_checked(spark, path)
+    return rows.withColumn("reason", F.lit(None).cast("string")).unionByName(
+        rejects.select(F.array_join("reasons", "; ").alias("reason")), allowMissingColumns=True)
+
+
 @query
 def offer_runs(spark, folder):
     """The offer table after two runs, the second of which was repeated."""
