@@ -316,3 +316,27 @@ def test_equal_rows_are_merged(spark):
     priced = {r.volume_liters: r.unit_price for r in model.transform(rows.dropDuplicates(["volume_liters"])).collect()}
     assert priced[1.0] == pytest.approx(2.0, abs=0.2) and priced[2.0] == pytest.approx(12.0, abs=0.2)
     assert model.leaves.agg(F.sum("n")).first()[0] == pytest.approx(20_000 * 7, rel=0.02)
+
+
+def test_rows_fitted_are_bounded_by_combinations(spark, monkeypatch):
+    """Beyond a number of rows a part fits few weighted rows a combination; every row it may see counts."""
+    monkeypatch.setattr(forest, "FITTED_ROWS", 600, raising=False)
+    rows = spark.range(20_000).selectExpr(
+        "CAST(id % 40 + 1 AS DOUBLE) AS volume_liters", "CAST(id % 40 * 10 + id % 7 AS DOUBLE) AS price_per_liter",
+        "0.0D AS approved_quote_price", "concat('T', id % 5) AS type_of_product", "'H' AS subindustry",
+        "'B' AS channel", "id")
+    fitted, fit = [], forest.RandomForestRegressor.fit
+
+    def recording(self, ready):
+        fitted.append(ready.agg(F.count("*"), F.sum("weight")).first())
+        return fit(self, ready)
+
+    monkeypatch.setattr(forest.RandomForestRegressor, "fit", recording)
+    model = forest.fit_forest(rows, "volume_liters", "price_per_liter", trees=8, key="id")
+    assert len(fitted) == forest.FOLDS and max(n for n, _ in fitted) <= 600
+    assert sum(weight for _, weight in fitted) == 20_000 * 7
+    sums = model.leaves.groupBy("tree").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).agg(
+        F.sum("n"), F.sum("total")).first()
+    assert sums[0] == 20_000 * 7 and sums[1] == pytest.approx(
+        7 * rows.agg(F.sum("price_per_liter")).first()[0], rel=1e-9)
+    assert forest.out_of_bag(model).count() == 20_000 and forest.out_of_bag_score(model) > 0.9
