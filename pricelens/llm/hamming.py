@@ -8,7 +8,9 @@ k-th verified distance is no larger, which proves its answer exact.
 
 Which segment values occur at all is a table of 4 * 65536 bits, so only values that occur
 are looked up. A code is taken at the smallest radius, and there in the first segment,
-that meets it, so nothing is verified twice. Equal codes are one entry with the ``k + 1``
+that meets it, so nothing is verified twice. Once ``k + 1`` codes are known, the farthest of them
+bounds a query: the join gives out only codes within that distance, and at a radius only those
+segments are looked up without which a code within it could be missed. Equal codes are one entry with the ``k + 1``
 smallest ids that have it; no other id of theirs can be in an answer.
 
 A row takes part if it has an id and a code. Equal distances rank the smaller id first.
@@ -54,6 +56,45 @@ def _segment(code: Column, s: int) -> Column:
     return F.shiftrightunsigned(code, BITS * s).bitwiseAND(F.lit((1 << BITS) - 1))
 
 
+def met_codes(active: DataFrame, index: DataFrame, packed: np.ndarray, radius: int) -> DataFrame:
+    """q, code and distance of the codes that ``active`` (q, far) meets at ``radius``, none farther than ``far``.
+
+    Without ``far`` all are given. A code within ``4 * radius + s`` that was not met before differs
+    in ``radius`` bits in one of the segments 0 to s: later ones are looked up only for a larger ``far``.
+    """
+    tasks = int(active.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def probes(batches):
+        known, own = np.unpackbits(packed, axis=1).astype(bool), masks(radius)
+        for batch in batches:
+            q = batch.column("q").to_numpy()
+            far = batch.column("far").fill_null(SEGMENTS * BITS).to_numpy()
+            for at in range(0, len(q), 2_000):
+                for s in range(SEGMENTS):
+                    asked = far[at:at + 2_000] >= SEGMENTS * radius + s
+                    part, bound = q[at:at + 2_000][asked], far[at:at + 2_000][asked]
+                    value = (part.view(np.uint64) >> np.uint64(BITS * s)).astype(np.int64) & 0xFFFF
+                    near = value[:, None] ^ own[None, :]
+                    i, j = np.nonzero(known[s][near])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(part[i]), pa.array(bound[i], pa.int32()),
+                         pa.array(np.full(len(i), s), pa.int32()), pa.array(near[i, j])],
+                        ["q", "far", "segment", "value"],
+                    )
+
+    differ = F.col("q").bitwiseXOR(F.col("code"))
+    apart = [F.bit_count(_segment(differ, s)) for s in range(SEGMENTS)]
+    first = F.array_position(F.array(*apart), F.array_min(F.array(*apart))) - 1
+    # The planner takes the probes for as few as the queries: neither side may be broadcast.
+    return (
+        active.repartition(tasks, "q").mapInArrow(probes, "q bigint, far int, segment int, value bigint")
+        .hint("merge").join(index.hint("merge"), ["segment", "value"])
+        .filter((F.bit_count(differ) <= F.col("far"))
+                & (F.array_min(F.array(*apart)) == radius) & (first == F.col("segment")))
+        .select("q", "code", F.bit_count(differ).alias("distance"))
+    )
+
+
 def nearest_codes(codes: DataFrame, queries: Column, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id, distance of every row of ``codes`` (id, code) for which ``queries`` holds."""
     rows = written(codes.select("id", "code").filter("id IS NOT NULL AND code IS NOT NULL").distinct(), "codes")
@@ -75,7 +116,6 @@ def nearest_codes(codes: DataFrame, queries: Column, k: int = 10) -> DataFrame:
     met = index.select("segment", "value").distinct().toArrow()  # 4 * 65536 rows at most
     occurs[met.column("segment").to_numpy(), met.column("value").to_numpy()] = True
     packed = np.packbits(occurs, axis=1)
-    tasks = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     nearer = Window.partitionBy("q").orderBy("distance")
 
     def nearest_of(pairs: DataFrame) -> DataFrame:
@@ -83,37 +123,16 @@ def nearest_codes(codes: DataFrame, queries: Column, k: int = 10) -> DataFrame:
         ranked = pairs.withColumn("_n", F.rank().over(nearer))
         return ranked.filter(F.col("_n") <= k + 1).drop("_n")
 
-    active = written(rows.filter(queries).select(F.col("code").alias("q")).distinct(), "asked")
+    active = written(
+        rows.filter(queries).select(F.col("code").alias("q")).distinct().withColumn("far", F.lit(None).cast("int")),
+        "asked",
+    )
     best = None
     for radius in range(BITS + 1):
         if active.isEmpty():
             break
 
-        def probes(batches, radius=radius):
-            known, own = np.unpackbits(packed, axis=1).astype(bool), masks(radius)
-            for batch in batches:
-                q = batch.column("q").to_numpy()
-                for at in range(0, len(q), 2_000):
-                    part = q[at:at + 2_000]
-                    for s in range(SEGMENTS):
-                        value = (part.view(np.uint64) >> np.uint64(BITS * s)).astype(np.int64) & 0xFFFF
-                        near = value[:, None] ^ own[None, :]
-                        i, j = np.nonzero(known[s][near])
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(part[i]), pa.array(np.full(len(i), s), pa.int32()),
-                             pa.array(near[i, j])], ["q", "segment", "value"],
-                        )
-
-        differ = F.col("q").bitwiseXOR(F.col("code"))
-        apart = [F.bit_count(_segment(differ, s)) for s in range(SEGMENTS)]
-        first = F.array_position(F.array(*apart), F.array_min(F.array(*apart))) - 1
-        # The planner takes the probes for as few as the queries: neither side may be broadcast.
-        pairs = (
-            active.repartition(tasks, "q").mapInArrow(probes, "q bigint, segment int, value bigint")
-            .hint("merge").join(index.hint("merge"), ["segment", "value"])
-            .filter((F.array_min(F.array(*apart)) == radius) & (first == F.col("segment")))
-            .select("q", "code", F.bit_count(differ).alias("distance"))
-        )
+        pairs = met_codes(active, index, packed, radius)
         met = nearest_of(pairs).join(ids, "code").select("q", "distance", F.explode("ids").alias("id"))
         if best is not None:
             met = met.unionByName(best.join(active, "q", "left_semi"))
@@ -127,7 +146,9 @@ def nearest_codes(codes: DataFrame, queries: Column, k: int = 10) -> DataFrame:
         done = reached.filter((F.col("n") > k) & (F.col("far") <= covered)) if radius < BITS else reached
         finished = ranked.join(done, "q", "left_semi")
         answers = finished if radius == 0 else answers.unionByName(finished)  # noqa: F821
-        active, best = written(active.join(done, "q", "left_anti"), "active"), ranked
+        bounds = reached.select("q", F.when(F.col("n") > k, F.col("far")).cast("int").alias("far"))
+        left = active.select("q").join(done, "q", "left_anti").join(bounds, "q", "left")
+        active, best = written(left, "active"), ranked
     if best is None:
         return rows.selectExpr("id AS query_id", "1 AS rank", "id AS vec_id", "0 AS distance").limit(0)
     per_query = Window.partitionBy("query_id").orderBy("distance", "vec_id")

@@ -846,3 +846,21 @@ def test_folded_values_equal_the_kernel():
         assert value == pytest.approx(max(0, want) - 0.25, abs=1e-9)
     sims = toxicity.similarities(words[:20], landmarks, norms)
     assert sims[3, 2] == pytest.approx(plain(words[3], landmarks[2]) / np.sqrt(plain(words[3], words[3]) * norms[2]))
+
+
+def test_pairs_met_are_within_the_bound(spark, monkeypatch):
+    """The join gives out no code farther than the k + 1 nearest known ones, and answers stay exact."""
+    rows, given, met = codes(1500), [], hamming.met_codes
+
+    def recording(active, index, packed, radius):
+        pairs = met(active, index, packed, radius)
+        given.append(pairs.join(active, "q").agg(
+            F.count("*"), F.sum((F.col("distance") > F.col("far")).cast("int"))).first())
+        return pairs
+
+    monkeypatch.setattr(hamming, "met_codes", recording)
+    frame = spark.createDataFrame(rows, "id bigint, code bigint")
+    got = sorted(map(tuple, hamming.nearest_codes(frame, F.col("id") % 20 == 0).collect()))
+    assert got == slow_nearest(rows, 10)
+    assert not any(beyond for _, beyond in given)
+    assert sum(n for n, _ in given) < 75 * 1500 / 4
