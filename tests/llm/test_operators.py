@@ -864,3 +864,62 @@ def test_pairs_met_are_within_the_bound(spark, monkeypatch):
     assert got == slow_nearest(rows, 10)
     assert not any(beyond for _, beyond in given)
     assert sum(n for n, _ in given) < 75 * 1500 / 4
+
+
+def test_places_a_query_is_sent_to_do_not_grow_with_the_codes(spark, monkeypatch):
+    """At no radius a query goes to more than the 256 blocks of each segment, and answers stay exact."""
+    frame = spark.range(30_000).select("id", F.xxhash64("id").alias("code"))
+    sent, whole = [], type(frame).mapInArrow
+
+    def recording(self, *args, **named):
+        out = whole(self, *args, **named)
+        if "segment" in out.columns:
+            q = F.explode("q") if out.schema["q"].dataType.typeName() == "array" else F.col("q")
+            sent.extend(r["count"] for r in out.select(q.alias("q")).groupBy("q").count().collect())
+        return out
+
+    monkeypatch.setattr(type(frame), "mapInArrow", recording)
+    got = sorted(map(tuple, hamming.nearest_codes(frame, F.col("id") % 10_000 == 7).collect()))
+    code = frame.orderBy("id").toPandas()["code"].to_numpy()
+    want = []
+    for q in range(7, 30_000, 10_000):
+        far = np.bitwise_count((code ^ code[q]).view(np.uint64)).astype(int)
+        order = [i for i in np.lexsort((np.arange(30_000), far)) if i != q][:10]
+        want += [(q, n + 1, i, far[i]) for n, i in enumerate(order)]
+    assert got == want
+    assert 0 < max(sent) <= 4 * 256
+
+
+def test_nearest_codes_in_small_pieces_and_chunks(spark, monkeypatch):
+    monkeypatch.setattr(hamming, "PIECE", 20)
+    monkeypatch.setattr(hamming, "CHUNK", 3)
+    rows = codes(300, seed=4)
+    frame = spark.createDataFrame(rows, "id bigint, code bigint")
+    got = sorted(map(tuple, hamming.nearest_codes(frame, F.col("id") % 20 == 0, 4).collect()))
+    assert got == slow_nearest(rows, 4)
+
+
+@pytest.mark.parametrize("segment", range(4))
+def test_codes_met_in_a_block(monkeypatch, segment):
+    """As compared one by one, in many steps; of equal distances the first codes are taken."""
+    monkeypatch.setattr(hamming, "COMPARED", 700)
+    rng = np.random.default_rng(segment)
+    centre = rng.integers(-2**63, 2**63 - 1)
+    flipped = lambda n, most: np.array([
+        centre ^ np.bitwise_or.reduce(np.int64(1) << rng.integers(0, 63, rng.integers(0, most))) for _ in range(n)])
+    high = np.int64(0xFF) << np.int64(16 * segment + 8)
+    codes, q = flipped(200, 12), flipped(30, 12)
+    codes = np.unique(codes & ~high | centre & high)
+    rng.shuffle(codes)
+    far = rng.integers(0, 65, 30).astype(np.int32)
+    for radius in range(6):
+        got = [tuple(map(int, row)) for part in hamming.nearest_in(q, far, codes, segment, radius, 5) for row in zip(*part)]
+        want = []
+        for i, (x, bound) in enumerate(zip(q.view(np.uint64).tolist(), far)):
+            found = []
+            for place, y in enumerate(codes.view(np.uint64).tolist()):
+                apart = [((x ^ y) >> 16 * s & 0xFFFF).bit_count() for s in range(4)]
+                if sum(apart) <= bound and min(apart) == radius and apart.index(radius) == segment:
+                    found.append((sum(apart), place))
+            want += [(i, place, distance) for distance, place in sorted(found)[:5]]
+        assert got == want
