@@ -1,11 +1,13 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from pricelens.operators import forest
+from pricelens.operators import trees as growing
 from pricelens.plans.runs import Landed, PriceRun, Settings
 from pricelens.sources import files, schemas
 from pricelens.sources.store import RunState, SuggestionStore
@@ -340,3 +342,82 @@ def test_rows_fitted_are_bounded_by_combinations(spark, monkeypatch):
     assert sums[0] == 20_000 * 7 and sums[1] == pytest.approx(
         7 * rows.agg(F.sum("price_per_liter")).first()[0], rel=1e-9)
     assert forest.out_of_bag(model).count() == 20_000 and forest.out_of_bag_score(model) > 0.9
+
+
+def many_cells(spark, count=6000):
+    return spark.range(count).selectExpr(
+        "CAST(id % 30 + 1 AS DOUBLE) AS volume_liters",
+        "CAST(id % 30 * 10 + id % 11 + id % 7 AS DOUBLE) AS price_per_liter",
+        "0.0D AS approved_quote_price", "concat('T', id % 50) AS type_of_product", "'H' AS subindustry",
+        "'B' AS channel", "id")
+
+
+def prices_of(model, rows):
+    asked = rows.dropDuplicates(["volume_liters", "type_of_product"])
+    scored = forest.with_tree_spread(model.prepare.transform(asked), model)
+    return {(r.volume_liters, r.type_of_product): (r.tree_mean, r.tree_spread) for r in scored.collect()}
+
+
+def test_no_number_of_rows_changes_the_rule(spark, monkeypatch):
+    """No bound on rows fitted makes other trees: every tree draws every row by itself, of many rows as of few."""
+    rows = many_cells(spark)
+    plain = prices_of(forest.fit_forest(rows, "volume_liters", "price_per_liter", trees=8, key="id"), rows)
+    monkeypatch.setattr(forest, "FITTED_ROWS", 150, raising=False)
+    bounded = prices_of(forest.fit_forest(rows, "volume_liters", "price_per_liter", trees=8, key="id"), rows)
+    assert len(plain) == 150 and plain == bounded
+
+
+def test_every_tree_draws_rows_one_by_one(spark):
+    """Drawn counts and sums of a cell are those of its rows' own draws, however rows lie; own folds are not seen."""
+    rows = [(cell, fold, float(cell * 10 + i % 9), cell * 1000 + 2 * i + fold)
+            for cell in (3, 5) for fold in (0, 1) for i in range(400)]
+    schema = "cell bigint, fold bigint, label double, number bigint"
+    ordered = spark.createDataFrame(rows, schema).repartition(3).sortWithinPartitions("cell", "number")
+    found = ordered.mapInArrow(growing.drawn([0, 5, 11]), growing.CELLS).collect()
+    times = growing.times_drawn(np.array([r[3] for r in rows]), 11)
+    assert 0.9 < times.mean() < 1.1 and 0.85 < times.var() < 1.15
+    for cell, part, trees in ((c, p, t) for c in (3, 5) for p, t in ((0, range(5)), (1, range(5, 11)))):
+        seen = [i for i, r in enumerate(rows) if r[0] == cell and r[1] != part]
+        its = [r for r in found if (r.cell, r.part) == (cell, part)]
+        labels = np.array([rows[i][2] for i in seen])
+        assert sum(r.weight for r in its) == 400 and sum(r.total for r in its) == labels.sum()
+        assert sum(r.squares for r in its) == (labels * labels).sum()
+        for k, tree in enumerate(trees):
+            assert sum(r.drawn[k] for r in its) == times[seen, tree].sum()
+            assert sum(r.sums[k] for r in its) == (times[seen, tree] * labels).sum()
+
+
+def test_trees_cut_as_a_slow_search_does():
+    rng = np.random.default_rng(3)
+
+    def slow(values, n, s, rows, depth, prices):
+        count, total = n[rows].sum(), s[rows].sum()
+        most, chosen = 1e-9, None
+        for f, v in ((f, v) for f in range(5) for v in np.unique(values[f][rows])) if depth else ():
+            side = values[f][rows] <= v if growing.ORDERED[f] else values[f][rows] == v
+            a, b = rows[side], rows[~side]
+            if min(n[a].sum(), n[b].sum()) >= 2:
+                gain = s[a].sum() ** 2 / n[a].sum() + s[b].sum() ** 2 / n[b].sum() - total ** 2 / count
+                if gain > most * (1 + 1e-9):
+                    most, chosen = gain, (a, b)
+        prices[rows] = total / count
+        for side in chosen or ():
+            slow(values, n, s, side, depth - 1, prices)
+
+    for cells, depth in ((1, 5), (40, 0), (60, 3), (90, 30)):
+        cell = np.unique(rng.integers(0, 6 * 5 * 4 * 3 * 7, cells))
+        values = growing.features(cell, [6, 5, 4, 3, 7])
+        n = rng.integers(1, 4, len(cell)).astype(float)
+        s = n * rng.normal(50, 20, len(cell))
+        *nodes, price = growing.grow(values, n, s, depth, 2)
+        wanted = np.empty(len(cell))
+        slow(values, n, s, np.arange(len(cell)), depth, wanted)
+        assert price[growing.leaves_of(values, *nodes)] == pytest.approx(wanted)
+
+
+def test_columns_of_no_type_come_back(spark, trained):
+    _, path = trained
+    products = products_of(spark).withColumn("nothing", F.lit(None))
+    priced = forest.predict(products, path, "volume_liters")
+    assert priced.columns[:len(products.columns)] == products.columns and priced.count() == 6
+    assert dict(priced.dtypes)["nothing"] == "void"
