@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import time
 
 import numpy as np
 import pytest
@@ -415,6 +416,34 @@ def test_trees_cut_as_a_slow_search_does():
         assert price[growing.leaves_of(values, *nodes)] == pytest.approx(wanted)
 
 
+def test_deep_trees_need_few_jobs(spark):
+    """A part is grown by one job of a task for each tree, not by passes over the rows for every level."""
+    rows = spark.range(3000).selectExpr(
+        "CAST(id % 40 + 1 AS DOUBLE) AS volume_liters", "CAST(hash(id) % 1000 AS DOUBLE) AS price_per_liter",
+        "0.0D AS approved_quote_price", "concat('T', id % 300) AS type_of_product", "'H' AS subindustry",
+        "'B' AS channel", "id")
+    spark.sparkContext.setJobGroup("deep", "a deep forest")
+    try:
+        model = forest.fit_forest(rows, "volume_liters", "price_per_liter", trees=8, key="id")
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("deep"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert model.leaves.groupBy("tree").count().agg(F.min("count")).first()[0] > 30
+    assert jobs < 80
+
+
+def test_spread_takes_time_in_proportion_to_the_trees(spark):
+    """The mean is found once a row, not once more for every tree."""
+    _, spread = forest.tree_stats(F.col("trees"))
+    few = spark.createDataFrame([([1.0, 2.0, 6.0],)], "trees array<double>")
+    assert few.select(spread.alias("s")).first().s == pytest.approx((14 / 3) ** 0.5)
+    values = F.transform(F.sequence(F.lit(1), F.lit(4000)), lambda i: i * 1.0)
+    many = spark.range(20, numPartitions=1).select(values.alias("trees"))
+    began = time.perf_counter()
+    assert many.agg(F.max(spread)).first()[0] == pytest.approx(4000 / 12 ** 0.5, rel=1e-6)
+    assert time.perf_counter() - began < 10
+
+
 def test_columns_of_no_type_come_back(spark, trained):
     _, path = trained
     products = products_of(spark).withColumn("nothing", F.lit(None))
